@@ -98,15 +98,24 @@ def near_duplicate_group_table(df: DataFrame, ignore, text: str, key: str) -> Da
         .drop('__n_text')
 
 
+def _tag_groups(df: DataFrame, groups: DataFrame, subset, how: str) -> DataFrame:
+    """Join rows to their group row, NULL-safe on every subset column. The group
+    table's columns are renamed first, so the self-derived join is unambiguous."""
+    g = groups.select(*[F.col(f"`{c}`").alias(f"__g{i}") for i, c in enumerate(subset)],
+                      *[c for c in groups.columns if c not in set(subset)])
+    cond = [_q(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(subset)]
+    out = df.join(g, cond, how)
+    return out.drop(*[f"__g{i}" for i in range(len(subset))])
+
+
 def near_duplicate_groups(df: DataFrame, ignore, text: str, key: str) -> DataFrame:
     """Rows of near-duplicate groups with group id (= smallest key of the
     group), group size and whether the ignored text is identical in the group
     (missing counts as one value)."""
     subset = [c for c in df.columns if c not in set(ignore)]
     g = near_duplicate_group_table(df, ignore, text, key)
-    cond = [df[c].eqNullSafe(g[c]) for c in subset]
-    return df.join(g, cond, 'inner').select(
-        g['group_id'], g['description_identical'], g['group_size'], *[df[c] for c in df.columns])
+    return _tag_groups(df, g, subset, 'inner').select(
+        'group_id', 'description_identical', 'group_size', *df.columns)
 
 
 def torn_groups(df: DataFrame, cols, split: str = 'split') -> DataFrame:
@@ -148,8 +157,7 @@ def collapse_near_duplicates(df: DataFrame, ignore, text: str, key: str, exempt:
     g = near_duplicate_group_table(df, ignore, text, key).filter('description_identical')
     if exempt is not None:
         g = g.join(exempt.select(F.col(exempt.columns[0]).alias('group_id')), 'group_id', 'left_anti')
-    cond = [df[c].eqNullSafe(g[c]) for c in subset]
-    tagged = df.join(g.select('group_id', *subset), cond, 'left').select(g['group_id'], *[df[c] for c in df.columns])
+    tagged = _tag_groups(df, g.select('group_id', *subset), subset, 'left')
     members = tagged.filter(F.col('group_id').isNotNull())
     rest = tagged.filter(F.col('group_id').isNull()).drop('group_id')
     merged = merge_by_key(members.withColumn(key, F.col('group_id')).drop('group_id'), key)
