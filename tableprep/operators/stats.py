@@ -170,12 +170,12 @@ def anova(df: DataFrame, by: str, label: str) -> DataFrame:
     """One-way ANOVA F from per-group count/mean/variance (one pass + tiny combine)."""
     g = df.filter(_q(label).isNotNull() & _q(by).isNotNull()).groupBy(by).agg(
         F.count(F.lit(1)).alias('n'), F.avg(_q(label)).alias('m'), F.var_samp(_q(label)).alias('v'))
-    tot = g.agg(F.sum('n').alias('N'), (F.sum(F.col('n') * F.col('m')) / F.sum('n')).alias('gm'),
+    tot = g.agg(F.sum('n').alias('total_n'), (F.sum(F.col('n') * F.col('m')) / F.sum('n')).alias('gm'),
                 F.count(F.lit(1)).alias('k'))
     j = g.crossJoin(F.broadcast(tot))
     r = j.agg(F.sum(F.col('n') * F.pow(F.col('m') - F.col('gm'), 2)).alias('ssb'),
               F.sum(F.coalesce((F.col('n') - 1) * F.col('v'), F.lit(0.0))).alias('ssw'),
-              F.first('N').alias('n'), F.first('k').alias('groups'))
+              F.first('total_n').alias('n'), F.first('k').alias('groups'))
     return r.select((F.col('ssb') / (F.col('groups') - 1) / (F.col('ssw') / (F.col('n') - F.col('groups'))))
                     .alias('f'), 'groups', 'n',
                     (F.col('groups') - 1).alias('df_between'), (F.col('n') - F.col('groups')).alias('df_within'))

@@ -103,9 +103,8 @@ def until_split(raw: DataFrame, cfg: PrepareConfig = PrepareConfig()):
 def outlier_rules(df: DataFrame, cfg: PrepareConfig, corrections: DataFrame = None):
     """F7, F8, C8, C6 on the split table. Returns (df, logs, params)."""
     c = cfg.cols
-    zp = None
-    if cfg.fit_scope == 'train':
-        zp = outliers.fit_zscore(df.filter("split = 'train'"), [c.size])
+    zp_train = outliers.fit_zscore(df.filter("split = 'train'"), [c.size])
+    zp = zp_train if cfg.fit_scope == 'train' else None
     df, size_log = outliers.resolve_size_outliers(df, c.size, c.text, c.key, 'split', cfg.z, zp)
     df, bed_log = outliers.resolve_room_outliers(df, c.bedroom, c.text, c.key)
     logs = {'size_outliers': size_log, 'bedroom_outliers': bed_log}
@@ -117,7 +116,7 @@ def outlier_rules(df: DataFrame, cfg: PrepareConfig, corrections: DataFrame = No
     cond = (F.col(c.parking) >= C.PARKING_LIMIT) & (F.col(c.price) < threshold)
     df, park_log = clean.invalidate_if(df, c.parking, cond, c.key)
     logs['parking_invalid'] = park_log
-    return df, logs, {'parking_price_threshold': threshold, 'size_z': zp}
+    return df, logs, {'parking_price_threshold': threshold, 'size_z_train': zp_train}
 
 
 def fixed_features(df: DataFrame, cfg: PrepareConfig = PrepareConfig()) -> DataFrame:
