@@ -68,3 +68,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         root = root[len("file:"):]
     path = os.path.join(root, name)
     return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem (local, HDFS or object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
