@@ -21,10 +21,17 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_WS_CHARS = list(WHITESPACE)
+
+
 def strip_ws(c) -> Column:
     """Strip leading/trailing Unicode whitespace (trim() only removes spaces).
-    btrim with a character set: no regex per cell."""
-    return F.btrim(col(c), F.lit(WHITESPACE))
+
+    Fast path: plain space trim; the character-set trim (much slower per
+    cell) runs only when the first or last character is still whitespace."""
+    t = F.trim(col(c))
+    edge = F.substring(t, 1, 1).isin(_WS_CHARS) | F.substring(t, -1, 1).isin(_WS_CHARS)
+    return F.when(edge, F.btrim(t, F.lit(WHITESPACE))).otherwise(t)
 
 
 def numeric(c) -> Column:

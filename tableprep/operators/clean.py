@@ -58,14 +58,13 @@ def standardise_missing(df: DataFrame, tokens, cols=None) -> DataFrame:
 
 
 def clean_missing(df: DataFrame, tokens, cols=None) -> DataFrame:
-    """C1 + C3 in one projection: strip, then sentinel → NULL."""
+    """C1 + C3: strip, then sentinel → NULL (row-local, no shuffle)."""
     cols = cols or string_columns(df)
     toks = list(tokens)
-
-    def one(c):
-        s = X.strip_ws(_q(c))
-        return F.when(~s.isin(toks), s)
-    return df.withColumns({c: one(c) for c in cols})
+    # two projections: the stripped value is computed once and then tested
+    # (Catalyst keeps them apart rather than inlining a non-trivial alias twice)
+    stripped = df.withColumns({c: X.strip_ws(_q(c)) for c in cols})
+    return stripped.withColumns({c: F.when(~_q(c).isin(toks), _q(c)) for c in cols})
 
 
 def remove_category(df: DataFrame, col: str, value) -> DataFrame:

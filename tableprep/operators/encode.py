@@ -142,3 +142,34 @@ def apply_one_hot(df: DataFrame, p: OneHotParams) -> DataFrame:
     c = _q(p.column)
     return df.withColumns({safe_name(p.prefix, v): F.coalesce(c == v, F.lit(False)).cast('int')
                            for v in p.categories[1:]})
+
+
+# --- I6 + I7 fitted together ----------------------------------------------------------
+
+def fit_rare_one_hot(train: DataFrame, spec: dict, other: str = 'Other',
+                     max_categories: int = MAX_CATEGORIES):
+    """Rare lists and one-hot categories for several columns from ONE grouped
+    count over the training rows. `spec` = {column: (min_count, prefix)}.
+
+    The one-hot categories after the merge are the frequent values plus
+    `other` when anything was merged, sorted — no second pass needed.
+    Returns {column: (RareParams, OneHotParams)}.
+    """
+    cells = train.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias('column'), _q(c).cast('string').alias('value')) for c in spec])).alias('r')) \
+        .select('r.*').filter(F.col('value').isNotNull())
+    counts = cells.groupBy('column', 'value').agg(F.count(F.lit(1)).alias('n'))
+    rows = counts.limit(max_categories * len(spec) + 1).collect()
+    if len(rows) > max_categories * len(spec):
+        raise ValueError("rare/one-hot fit: too many categories; raise max_categories")
+    out = {}
+    for c, (min_count, prefix) in spec.items():
+        seen = {r['value']: r['n'] for r in rows if r['column'] == c}
+        if len(seen) > max_categories:
+            raise ValueError(f"{c}: more than {max_categories} categories")
+        rare = tuple(sorted(v for v, n in seen.items() if n < min_count))
+        kept = {v for v, n in seen.items() if n >= min_count}
+        if rare:
+            kept.add(other)
+        out[c] = (RareParams(c, rare, other), OneHotParams(c, tuple(sorted(kept)), prefix))
+    return out

@@ -105,9 +105,16 @@ def until_split(raw: DataFrame, cfg: PrepareConfig = PrepareConfig()):
 # --- stages after the split (fits on train only) -----------------------------------
 
 def outlier_rules(df: DataFrame, cfg: PrepareConfig, corrections: DataFrame = None):
-    """F7, F8, C8, C6 on the split table. Returns (df, logs, params)."""
+    """F7, F8, C8, C6 on the split table. Returns (df, logs, params).
+
+    One fit job over the training rows gives both the size z-parameters and
+    the price median (price is not touched by F7/F8, so fitting before them is
+    the same as after)."""
     c = cfg.cols
-    zp_train = outliers.fit_zscore(df.filter("split = 'train'"), [c.size])
+    r = df.filter("split = 'train'").agg(
+        F.avg(c.size).alias('m'), F.stddev_samp(c.size).alias('s'),
+        F.percentile(c.price, 0.5).alias('med')).first()
+    zp_train = outliers.ZParams({c.size: r['m']}, {c.size: r['s']})
     zp = zp_train if cfg.fit_scope == 'train' else None
     df, size_log = outliers.resolve_size_outliers(df, c.size, c.text, c.key, 'split', cfg.z, zp)
     df, bed_log = outliers.resolve_room_outliers(df, c.bedroom, c.text, c.key)
@@ -115,8 +122,7 @@ def outlier_rules(df: DataFrame, cfg: PrepareConfig, corrections: DataFrame = No
     if corrections is not None:
         df, unmatched = clean.apply_corrections(df, corrections, c.key)
         logs['corrections_unmatched'] = unmatched
-    med = impute.fit_median(df.filter("split = 'train'"), {c.price: None}).medians[c.price]
-    threshold = med * C.PARKING_PRICE_SHARE
+    threshold = r['med'] * C.PARKING_PRICE_SHARE
     cond = (F.col(c.parking) >= C.PARKING_LIMIT) & (F.col(c.price) < threshold)
     df, park_log = clean.invalidate_if(df, c.parking, cond, c.key)
     logs['parking_invalid'] = park_log
@@ -164,13 +170,10 @@ def encode_fit_apply(df: DataFrame, cfg: PrepareConfig):
     unseen = encode.unseen_items(out.filter("split = 'test'"), facility_items(cfg), mh)
     eda = out.filter("split = 'train'").drop(*EDA_DROP, 'log_price', 'split')
     out = clean.fill_constant(out, {'state': 'Unknown'})
-    train = out.filter("split = 'train'")
-    rs = encode.fit_rare(train, 'state', cfg.rare_state)
-    rt = encode.fit_rare(train, c.property_type, cfg.rare_type)
+    fitted = encode.fit_rare_one_hot(out.filter("split = 'train'"), {
+        'state': (cfg.rare_state, 'State'), c.property_type: (cfg.rare_type, 'PropertyType')})
+    (rs, oh_s), (rt, oh_t) = fitted['state'], fitted[c.property_type]
     out = encode.apply_rare(encode.apply_rare(out, rs), rt)
-    train = out.filter("split = 'train'")
-    oh_s = encode.fit_one_hot(train, 'state', 'State')
-    oh_t = encode.fit_one_hot(train, c.property_type, 'PropertyType')
     # a test value the training rows never had is not a category: all zeros
     out = encode.apply_one_hot(encode.apply_one_hot(out, oh_s), oh_t)
     params = {'multi_hot': mh, 'rare_state': rs, 'rare_type': rt, 'one_hot_state': oh_s,

@@ -288,10 +288,9 @@ _TYPE_RARE = (f"rt AS (SELECT property_type FROM feat WHERE split = 'train' GROU
 def i7(spark, sf):
     """I7 in long form (key, column, value): drop-first categories fitted on train."""
     df = stage(spark, sf, 'feat')
-    rt = encode.fit_rare(_train(df), 'property_type', C.RARE_PROPERTY_TYPE_THRESHOLD)
-    df = encode.apply_rare(df, rt)
-    p = encode.fit_one_hot(_train(df), 'property_type', 'PropertyType')
-    return _long_flags(encode.apply_one_hot(df, p), 'ad_id', p.columns())
+    rt, p = encode.fit_rare_one_hot(_train(df), {
+        'property_type': (C.RARE_PROPERTY_TYPE_THRESHOLD, 'PropertyType')})['property_type']
+    return _long_flags(encode.apply_one_hot(encode.apply_rare(df, rt), p), 'ad_id', p.columns())
 
 
 # --- J: imputation and scaling ----------------------------------------------------------------
