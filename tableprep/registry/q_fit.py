@@ -302,7 +302,7 @@ _J2 = ['property_size', 'Floor_Range_Ordinal']
 
 def _median_sql(spec: dict) -> str:
     meds = ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in spec)
-    sel = ", ".join(f"coalesce({c}, CAST(med.m_{c} AS {('INTEGER' if c == 'Floor_Range_Ordinal' else 'DOUBLE')})) "
+    sel = ", ".join(f"coalesce(CAST({c} AS DOUBLE), CAST(med.m_{c} AS DOUBLE)) "
                     f"AS {c}" + (f", CAST({c} IS NULL AS INTEGER) AS {f}" if f else "") for c, f in spec.items())
     return (f", med AS (SELECT {meds} FROM feat WHERE split = 'train') SELECT ad_id, {sel} FROM feat, med")
 

@@ -195,3 +195,56 @@ def p4(spark, sf):
     return AP.transform(new_rows, prepared.params)
 
 
+
+
+def _p1_sql() -> str:
+    """P1 accounting in SQL: the whole job from the raw view to the summary."""
+    med_cols = {'property_age': 'a', 'floors': 'f', 'total_units': 'u', 'parking_lot': 'p',
+                'property_size': 's', 'Floor_Range_Ordinal': 'o'}
+    meds = ", ".join(f"quantile_cont({c}, 0.5) AS {k}" for c, k in med_cols.items())
+    filled = ", ".join(f"coalesce(CAST({c} AS DOUBLE), CAST(med.{k} AS DOUBLE)) AS {c}" for c, k in med_cols.items())
+    flags = ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {f}" for c, f in PP.IMPUTE_SPEC.items() if f)
+    group_cols = (list(med_cols) + ['bedroom', 'bathroom', 'listed_facility_count', 'Has_school', 'Has_mall',
+                                    'Is_Non_Bumi_Lot', 'Freehold_Indicator', 'mh', 'sk', 'tk', 'log_price'] +
+                  [f for f in PP.IMPUTE_SPEC.values() if f])
+    return (f"{W('feat')}, "
+            f"it AS (SELECT *, {S.parse_list('facilities')} AS __items, coalesce(state, 'Unknown') AS __st FROM feat), "
+            "vocab AS (SELECT DISTINCT unnest(__items) AS item FROM it WHERE split = 'train'), "
+            "vl AS (SELECT list_sort(list(item)) AS v, count(*) AS nv FROM vocab), "
+            f"rs AS (SELECT __st AS v FROM it WHERE split = 'train' GROUP BY 1 HAVING count(*) < {PP.C.RARE_STATE_THRESHOLD}), "
+            "rt AS (SELECT property_type AS v FROM it WHERE split = 'train' AND property_type IS NOT NULL GROUP BY 1 "
+            f"HAVING count(*) < {PP.C.RARE_PROPERTY_TYPE_THRESHOLD}), "
+            "m AS (SELECT *, CASE WHEN __st IN (SELECT v FROM rs) THEN 'Other' ELSE __st END AS __sm, "
+            "CASE WHEN property_type IN (SELECT v FROM rt) THEN 'Other' ELSE property_type END AS __tm FROM it), "
+            "sc AS (SELECT DISTINCT __sm AS c FROM m WHERE split = 'train' AND __sm IS NOT NULL), "
+            "tc AS (SELECT DISTINCT __tm AS c FROM m WHERE split = 'train' AND __tm IS NOT NULL), "
+            "scl AS (SELECT count(*) - 1 AS n, min(c) AS ref FROM sc), "
+            "tcl AS (SELECT count(*) - 1 AS n, min(c) AS ref FROM tc), "
+            f"med AS (SELECT {meds} FROM m WHERE split = 'train'), "
+            f"fin AS (SELECT split, log_price, bedroom, bathroom, listed_facility_count, Has_school, Has_mall, "
+            f"Is_Non_Bumi_Lot, Freehold_Indicator, {filled}, {flags}, "
+            "list_sort(list_distinct(list_filter(__items, lambda x: list_contains(vl.v, x)))) AS mh, "
+            "CASE WHEN __sm IN (SELECT c FROM sc) AND __sm <> (SELECT ref FROM scl) THEN __sm END AS sk, "
+            "CASE WHEN __tm IN (SELECT c FROM tc) AND __tm <> (SELECT ref FROM tcl) THEN __tm END AS tk "
+            "FROM m, med, vl), "
+            f"g AS (SELECT count(*) AS n, count(DISTINCT split) AS sides FROM fin GROUP BY {', '.join(group_cols)}), "
+            "k AS (SELECT (SELECT nv FROM vl) AS v, (SELECT n FROM scl) AS s, (SELECT n FROM tcl) AS t) "
+            "SELECT 'raw_features_retained' AS item, CAST(6 AS BIGINT) AS result "
+            f"UNION ALL SELECT 'raw_features_dropped', {len(PP.DROP_NO_ENGINEERING) + len(PP.DROP_REPLACED)} "
+            "UNION ALL SELECT 'engineered_features', CAST(11 + v + s + t AS BIGINT) FROM k "
+            "UNION ALL SELECT 'state_one_hot_columns', CAST(s AS BIGINT) FROM k "
+            "UNION ALL SELECT 'property_type_one_hot_columns', CAST(t AS BIGINT) FROM k "
+            "UNION ALL SELECT 'missing_indicator_flags', 4 "
+            "UNION ALL SELECT 'final_features', CAST(17 + v + s + t AS BIGINT) FROM k "
+            "UNION ALL SELECT 'rows_entering_split', count(*) FROM fin "
+            "UNION ALL SELECT 'train_rows', count(*) FROM fin WHERE split = 'train' "
+            "UNION ALL SELECT 'test_rows', count(*) FROM fin WHERE split = 'test' "
+            "UNION ALL SELECT 'remaining_missing', CAST(sum(CAST(bedroom IS NULL AS INTEGER) + CAST(bathroom IS NULL AS "
+            "INTEGER) + CAST(Is_Non_Bumi_Lot IS NULL AS INTEGER) + CAST(Freehold_Indicator IS NULL AS INTEGER)) AS BIGINT) "
+            "FROM fin UNION ALL SELECT 'torn_groups', CAST(coalesce(sum(CASE WHEN n > 1 AND sides > 1 THEN 1 END), 0) "
+            "AS BIGINT) FROM g")
+
+
+from tableprep.registry.base import ORACLES as _OR  # noqa: E402
+
+_OR['p1_prepare'] = _p1_sql()
