@@ -88,10 +88,8 @@ def invalidate_if(df: DataFrame, col: str, cond, key: str):
 
 def tail_review(df: DataFrame, col: str, q: float, key: str) -> DataFrame:
     """Rows at or below the q-quantile of `col` (threshold as a column)."""
-    # The threshold frame is a single aggregate row: broadcasting it is bounded.
-    thr = df.agg(F.percentile(_q(col), q).alias('threshold'))
-    return df.join(F.broadcast(thr), _q(col) <= F.col('threshold'), 'inner') \
-        .select(key, col, 'threshold')
+    thr = df.agg(F.percentile(_q(col), q)).first()[0]                    # one-row fit
+    return df.filter(_q(col) <= F.lit(thr)).select(key, col, F.lit(thr).cast('double').alias('threshold'))
 
 
 def apply_corrections(df: DataFrame, corrections: DataFrame, key: str):

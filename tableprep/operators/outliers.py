@@ -93,23 +93,18 @@ def iqr_flags(df: DataFrame, p: IQRParams, suffix='_iqr_outlier') -> DataFrame:
 def iqr_table(df: DataFrame, cols, k: float = C.IQR_K) -> DataFrame:
     """F2 + F3 as one report: quartiles, fences, degenerate flag, outlier count.
 
-    Quartiles come from one aggregate, the fences are joined back as a one-row
-    broadcast, and the counts are a second aggregate — no collect."""
-    q = df.agg(*[F.percentile(_q(c), [0.25, 0.75]).alias(f"q{i}") for i, c in enumerate(cols)])
-    j = df.crossJoin(F.broadcast(q))
+    Quartiles are one aggregate (a one-row fit); the counts against the fences
+    are a second aggregate."""
+    p = fit_iqr(df, cols, k)
     counts = []
     for i, c in enumerate(cols):
-        q1, q3 = F.col(f"q{i}")[0], F.col(f"q{i}")[1]
-        iqr = q3 - q1
-        out = (_q(c) < q1 - k * iqr) | (_q(c) > q3 + k * iqr)
+        out = (_q(c) < F.lit(p.lo(c))) | (_q(c) > F.lit(p.hi(c)))
         counts.append(F.coalesce(F.sum(out.cast('long')), F.lit(0)).alias(f"n{i}"))
-    n = j.agg(*counts)
-    row = q.crossJoin(n)
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias('column'), F.col(f"q{i}")[0].alias('q1'), F.col(f"q{i}")[1].alias('q3'),
-                 (F.col(f"q{i}")[0] - k * (F.col(f"q{i}")[1] - F.col(f"q{i}")[0])).alias('lower'),
-                 (F.col(f"q{i}")[1] + k * (F.col(f"q{i}")[1] - F.col(f"q{i}")[0])).alias('upper'),
-                 (F.col(f"q{i}")[0] == F.col(f"q{i}")[1]).alias('degenerate'),
+    n = df.agg(*counts)
+    return n.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias('column'), F.lit(p.q1[c]).cast('double').alias('q1'),
+                 F.lit(p.q3[c]).cast('double').alias('q3'), F.lit(p.lo(c)).cast('double').alias('lower'),
+                 F.lit(p.hi(c)).cast('double').alias('upper'), F.lit(p.q1[c] == p.q3[c]).alias('degenerate'),
                  F.col(f"n{i}").alias('outliers'))
         for i, c in enumerate(cols)])).alias('r')).select('r.*')
 
@@ -152,20 +147,12 @@ def mahalanobis_flags(df: DataFrame, p: MahalanobisParams, out: str = 'mahalanob
 
 
 def mahalanobis_table(df: DataFrame, x: str, y: str, p: float = C.CHI2_P) -> DataFrame:
-    """F4 as one report without a driver round trip: moments of the complete
-    pairs (one aggregate, broadcast back as one row), then the flagged count."""
+    """F4 as one report: moments of the complete pairs (one-row fit), then the
+    flagged count in one more aggregate."""
+    mp = fit_mahalanobis(df, x, y, p)
     pair = df.filter(_q(x).isNotNull() & _q(y).isNotNull())
-    m = pair.agg(F.avg(_q(x)).alias('mx'), F.avg(_q(y)).alias('my'),
-                 F.var_samp(_q(x)).alias('vx'), F.var_samp(_q(y)).alias('vy'),
-                 F.covar_samp(_q(x), _q(y)).alias('cxy'), F.count(F.lit(1)).alias('n'))
-    cut = chi2_cutoff_df2(p)
-    dx = _q(x) - F.col('mx')
-    dy = _q(y) - F.col('my')
-    det = F.col('vx') * F.col('vy') - F.col('cxy') * F.col('cxy')
-    d2 = (dx * dx * F.col('vy') - 2 * F.col('cxy') * dx * dy + dy * dy * F.col('vx')) / det
-    return pair.crossJoin(F.broadcast(m)).agg(
-        F.first('n').alias('pairs'), F.lit(cut).alias('cutoff'),
-        F.coalesce(F.sum((d2 > cut).cast('long')), F.lit(0)).alias('outliers'))
+    return pair.agg(F.lit(mp.n).cast('long').alias('pairs'), F.lit(mp.cutoff).alias('cutoff'),
+                    F.coalesce(F.sum((mahalanobis_sq(mp) > mp.cutoff).cast('long')), F.lit(0)).alias('outliers'))
 
 
 def ellipse(p: MahalanobisParams) -> dict:

@@ -41,9 +41,8 @@ def split_grouped(df: DataFrame, group_cols, test_frac: float = 0.2, seed: int =
 def split_report(df: DataFrame, split: str = 'split') -> DataFrame:
     """Rows per side and share of the total."""
     g = df.groupBy(split).agg(F.count(F.lit(1)).alias('rows'))
-    tot = g.agg(F.sum('rows').alias('total'))
-    return g.crossJoin(F.broadcast(tot)).select(
-        split, 'rows', F.round(F.col('rows') / F.col('total'), 3).alias('share'))
+    total = g.agg(F.sum('rows')).first()[0]                              # one row per side
+    return g.select(split, 'rows', F.round(F.col('rows') / F.lit(total), 3).alias('share'))
 
 
 def log_label(df: DataFrame, col: str, out: str = None) -> DataFrame:

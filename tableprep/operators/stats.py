@@ -25,12 +25,14 @@ def central(df: DataFrame, col: str) -> DataFrame:
     """K1: mean, median, mode (smallest of tied modes) and its row count, std, min, max."""
     v = df.select(_q(col).alias('v')).filter('v IS NOT NULL')
     counts = v.groupBy('v').agg(F.count(F.lit(1)).alias('n'))
-    mode = counts.agg(F.min_by('v', F.struct(-F.col('n'), F.col('v'))).alias('mode'),
-                      F.max('n').alias('mode_rows'))
+    # the mode is one aggregate row over the (value, count) table: read it as a fit
+    m = counts.agg(F.min_by('v', F.struct(-F.col('n'), F.col('v'))).alias('mode'),
+                   F.max('n').alias('mode_rows')).first()
     base = v.agg(F.count(F.lit(1)).alias('count'), F.avg('v').alias('mean'),
                  F.percentile('v', 0.5).alias('median'), F.stddev_samp('v').alias('std'),
                  F.min('v').cast('double').alias('min'), F.max('v').cast('double').alias('max'))
-    return base.crossJoin(mode.select(F.col('mode').cast('double').alias('mode'), 'mode_rows'))
+    return base.withColumns({'mode': F.lit(m['mode']).cast('double'),
+                             'mode_rows': F.lit(m['mode_rows']).cast('long')})
 
 
 # --- K2/K3 skewness ----------------------------------------------------------------
@@ -76,15 +78,18 @@ def arg_max(summary: DataFrame, by: str, measure: str) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """K6: equal-width bins between min and max (last bin closed), all bins listed."""
     v = df.select(_q(col).cast('double').alias('v')).filter('v IS NOT NULL')
-    st = v.agg(F.min('v').alias('lo'), F.max('v').alias('hi'))
-    w = (F.col('hi') - F.col('lo')) / bins
-    b = F.least(F.floor((F.col('v') - F.col('lo')) / w), F.lit(bins - 1)).cast('int')
-    b = F.when(F.col('hi') == F.col('lo'), F.lit(0)).otherwise(b)
-    counts = v.join(F.broadcast(st), how='cross').groupBy(b.alias('bin')).agg(F.count(F.lit(1)).alias('count'))
-    grid = st.select('lo', 'hi', F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias('bin'))
+    r = v.agg(F.min('v').alias('lo'), F.max('v').alias('hi')).first()     # range: a one-row fit
+    lo, hi = r['lo'], r['hi']
+    w = (hi - lo) / bins if lo is not None else 1.0
+    if lo is None or hi == lo:
+        b = F.lit(0)
+    else:
+        b = F.least(F.floor((F.col('v') - F.lit(lo)) / F.lit(w)), F.lit(bins - 1)).cast('int')
+    counts = v.groupBy(b.alias('bin')).agg(F.count(F.lit(1)).alias('count'))
+    grid = df.sparkSession.range(bins).select(F.col('id').cast('int').alias('bin'))
     return grid.join(counts, 'bin', 'left').select(
-        'bin', (F.col('lo') + F.col('bin') * w).alias('lower'),
-        (F.col('lo') + (F.col('bin') + 1) * w).alias('upper'),
+        'bin', (F.lit(lo) + F.col('bin') * F.lit(w)).alias('lower'),
+        (F.lit(lo) + (F.col('bin') + 1) * F.lit(w)).alias('upper'),
         F.coalesce('count', F.lit(0)).cast('long').alias('count'))
 
 
@@ -170,12 +175,11 @@ def anova(df: DataFrame, by: str, label: str) -> DataFrame:
     """One-way ANOVA F from per-group count/mean/variance (one pass + tiny combine)."""
     g = df.filter(_q(label).isNotNull() & _q(by).isNotNull()).groupBy(by).agg(
         F.count(F.lit(1)).alias('n'), F.avg(_q(label)).alias('m'), F.var_samp(_q(label)).alias('v'))
-    tot = g.agg(F.sum('n').alias('total_n'), (F.sum(F.col('n') * F.col('m')) / F.sum('n')).alias('gm'),
-                F.count(F.lit(1)).alias('k'))
-    j = g.crossJoin(F.broadcast(tot))
-    r = j.agg(F.sum(F.col('n') * F.pow(F.col('m') - F.col('gm'), 2)).alias('ssb'),
+    t = g.agg(F.sum('n').alias('total_n'), (F.sum(F.col('n') * F.col('m')) / F.sum('n')).alias('gm'),
+              F.count(F.lit(1)).alias('k')).first()                      # grand totals: one row
+    r = g.agg(F.sum(F.col('n') * F.pow(F.col('m') - F.lit(t['gm']), 2)).alias('ssb'),
               F.sum(F.coalesce((F.col('n') - 1) * F.col('v'), F.lit(0.0))).alias('ssw'),
-              F.first('total_n').alias('n'), F.first('k').alias('groups'))
+              F.lit(t['total_n']).cast('long').alias('n'), F.lit(t['k']).cast('long').alias('groups'))
     return r.select((F.col('ssb') / (F.col('groups') - 1) / (F.col('ssw') / (F.col('n') - F.col('groups'))))
                     .alias('f'), 'groups', 'n',
                     (F.col('groups') - 1).alias('df_between'), (F.col('n') - F.col('groups')).alias('df_within'))

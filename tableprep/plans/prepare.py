@@ -234,11 +234,12 @@ def summary(raw: DataFrame, final: DataFrame, feats, params: dict, cfg: PrepareC
         ('missing_indicator_flags', sum(1 for v in IMPUTE_SPEC.values() if v)),
         ('final_features', len(feats)),
     ], 'item string, result long')
-    measured = counts.crossJoin(miss).crossJoin(torn).select(F.explode(F.array(
-        F.struct(F.lit('rows_entering_split').alias('item'), F.col('rows').alias('result')),
-        F.struct(F.lit('train_rows').alias('item'), F.col('train').alias('result')),
-        F.struct(F.lit('test_rows').alias('item'), F.col('test').alias('result')),
-        F.struct(F.lit('remaining_missing').alias('item'), F.col('missing').alias('result')),
-        F.struct(F.lit('torn_groups').alias('item'), F.col('torn_groups').alias('result')),
-    )).alias('r')).select('r.*')
-    return fixed.unionByName(measured)
+    def rows(frame, pairs):
+        return frame.select(F.explode(F.array(*[
+            F.struct(F.lit(item).alias('item'), F.col(c).cast('long').alias('result')) for item, c in pairs]))
+            .alias('r')).select('r.*')
+    return (fixed
+            .unionByName(rows(counts, [('rows_entering_split', 'rows'), ('train_rows', 'train'),
+                                       ('test_rows', 'test')]))
+            .unionByName(rows(miss, [('remaining_missing', 'missing')]))
+            .unionByName(rows(torn, [('torn_groups', 'torn_groups')])))
