@@ -111,9 +111,14 @@ def outlier_rules(df: DataFrame, cfg: PrepareConfig, corrections: DataFrame = No
     the price median (price is not touched by F7/F8, so fitting before them is
     the same as after)."""
     c = cfg.cols
-    r = df.filter("split = 'train'").agg(
-        F.avg(c.size).alias('m'), F.stddev_samp(c.size).alias('s'),
-        F.percentile(c.price, 0.5).alias('med')).first()
+    train = df.filter("split = 'train'")
+    if cfg.quantile_method == 'exact':
+        r = train.agg(F.avg(c.size).alias('m'), F.stddev_samp(c.size).alias('s'),
+                      F.percentile(c.price, 0.5).alias('med')).first()
+    else:
+        m = train.agg(F.avg(c.size).alias('m'), F.stddev_samp(c.size).alias('s')).first()
+        med = impute.fit_median(train, {c.price: None}, method=cfg.quantile_method).medians[c.price]
+        r = {'m': m['m'], 's': m['s'], 'med': med}
     zp_train = outliers.ZParams({c.size: r['m']}, {c.size: r['s']})
     zp = zp_train if cfg.fit_scope == 'train' else None
     df, size_log = outliers.resolve_size_outliers(df, c.size, c.text, c.key, 'split', cfg.z, zp)
@@ -194,7 +199,7 @@ def prepare(raw: DataFrame, cfg: PrepareConfig = PrepareConfig(), corrections: D
     eda = eda.withColumn(c.price, F.bround(F.col(c.price), 0).cast('long'))
     df, drop_report = clean.drop_columns(df, {'no_engineering': DROP_NO_ENGINEERING,
                                               'replaced': DROP_REPLACED})
-    mp = impute.fit_median(df.filter("split = 'train'"), IMPUTE_SPEC)
+    mp = impute.fit_median(df.filter("split = 'train'"), IMPUTE_SPEC, method=cfg.quantile_method)
     df = impute.apply_median(df, mp)
     if strict:
         profile.assert_no_missing(df)
