@@ -230,3 +230,25 @@ def test_describe_table_shape(spark):
     assert rows["Count"] == (2.0, 2.0)
     assert rows["Median"] == (2000.0, 3.25)
     assert not math.isnan(rows["Standard deviation"][0])
+
+
+def test_hot_key_merge_is_partially_aggregated(spark):
+    """A third of all rows under one key: the merge must combine them map-side
+    (partial aggregation before the shuffle) and still give the exact result."""
+    n = 3000
+    rows = [(0 if i % 3 == 0 else i, f"a{i % 11}" if i % 5 else None, f"b{i}") for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, a string, b string").repartition(12)
+    merged = dedup.merge_by_key(df, "k")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan
+    assert merged.count() == len({r[0] for r in rows})
+    hot = merged.filter("k = 0").first()
+    ref = dedup.merge_by_key(df.filter("k = 0").coalesce(1), "k").first()
+    assert tuple(hot) == tuple(ref)
+
+
+def test_key_conflicts_never_collects_a_group(spark):
+    df = spark.createDataFrame([(0, f"v{i}") for i in range(200)], "k long, x string")
+    plan = dedup.key_conflicts(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan
+    assert dedup.key_conflicts(df, "k").count() == 200
