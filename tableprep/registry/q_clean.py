@@ -34,7 +34,13 @@ def a1(spark, sf):
     return io.read_table(spark, path, schema=src.schema)
 
 
-@query('a2_snapshot')
+_A2_SQL = ("SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS \"column\", "
+           "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
+           "WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END AS data_type "
+           f"FROM (DESCRIBE {W('listings')} SELECT * FROM listings)")
+
+
+@query('a2_snapshot', _A2_SQL)
 def a2(spark, sf):
     """A2: schema snapshot of the raw listings as rows (position, column, type)."""
     return io.snapshot(raw(spark, sf))
