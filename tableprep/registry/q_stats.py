@@ -184,17 +184,24 @@ def p3(spark, sf):
     return round_doubles(ED.eda_report(snap)['grouped_summary'])
 
 
+def _long_features(df, key: str, cols):
+    """(key, feature, value) rows: one per feature of every row."""
+    return df.select(key, F.explode(F.array(*[
+        F.struct(F.lit(c).alias('feature'), F.col(f"`{c}`").cast('double').alias('value')) for c in cols]))
+        .alias('r')).select(key, 'r.*')
+
+
 @query('p4_apply')
 def p4(spark, sf):
     """Fit on the training rows, then transform the raw records of the
-    held-out keys as new rows with the frozen parameters."""
+    held-out keys as new rows with the frozen parameters. Reported in long form
+    (ad_id, feature, value) because the one-hot/multi-hot columns are fitted."""
     r = raw(spark, sf)
     prepared = PP.prepare(r)
     test_keys = prepared.data.filter("split = 'test'").select('ad_id')
     new_rows = r.join(test_keys, 'ad_id', 'left_semi')
-    return AP.transform(new_rows, prepared.params)
-
-
+    out = AP.transform(new_rows, prepared.params)
+    return round_doubles(_long_features(out, 'ad_id', PP.feature_columns(out)))
 
 
 def _p1_sql() -> str:
@@ -248,3 +255,61 @@ def _p1_sql() -> str:
 from tableprep.registry.base import ORACLES as _OR  # noqa: E402
 
 _OR['p1_prepare'] = _p1_sql()
+
+
+def _p4_sql() -> str:
+    """P4 in SQL: training fits from the P1 stages, applied to the test keys'
+    records with the training size moments (not re-fitted on the new rows)."""
+    land = S.extract_land('description')
+    gen = S.extract_size('description')
+    shift = " OR ".join(f"abs(property_size / __val / {f} - 1) < {PP.C.DIGIT_SHIFT_TOLERANCE}"
+                        for f in PP.C.DIGIT_SHIFT_FACTORS)
+    bed = S.rooms_strict('description')
+    nfeat = S.features_cte('n3').replace('feat AS (', 'nfeat AS (', 1)
+    med_cols = {'property_age': 'a', 'floors': 'f', 'total_units': 'u', 'parking_lot': 'p',
+                'property_size': 's', 'Floor_Range_Ordinal': 'o'}
+    meds = ", ".join(f"quantile_cont({c}, 0.5) AS {k}" for c, k in med_cols.items())
+    fixed = ['bedroom', 'bathroom', 'listed_facility_count', 'Has_school', 'Has_mall', 'Is_Non_Bumi_Lot',
+             'Freehold_Indicator']
+    parts = [f"SELECT ad_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM nfeat" for c in fixed]
+    parts += [f"SELECT ad_id, '{c}' AS feature, CAST(coalesce(CAST({c} AS DOUBLE), med.{k}) AS DOUBLE) AS value "
+              f"FROM nfeat, med" for c, k in med_cols.items()]
+    parts += [f"SELECT ad_id, '{f}' AS feature, CAST({c} IS NULL AS DOUBLE) AS value FROM nfeat"
+              for c, f in PP.IMPUTE_SPEC.items() if f]
+    parts += ["SELECT ad_id, 'Has_' || replace(item, ' ', '_') AS feature, "
+              f"CAST(list_contains({S.parse_list('facilities')}, item) AS DOUBLE) AS value FROM nfeat, vocab",
+              "SELECT ad_id, 'State_' || replace(c, ' ', '_') AS feature, "
+              "CAST(coalesce(CASE WHEN coalesce(state, 'Unknown') IN (SELECT v FROM rs) THEN 'Other' "
+              "ELSE coalesce(state, 'Unknown') END = c, false) AS DOUBLE) AS value FROM nfeat, skept",
+              "SELECT ad_id, 'PropertyType_' || replace(c, ' ', '_') AS feature, "
+              "CAST(coalesce(CASE WHEN property_type IN (SELECT v FROM rt) THEN 'Other' "
+              "ELSE property_type END = c, false) AS DOUBLE) AS value FROM nfeat, tkept"]
+    return (f"{W('feat')}, "
+            "trz AS (SELECT avg(property_size) AS m, stddev_samp(property_size) AS s, "
+            f"quantile_cont(price, 0.5) * {PP.C.PARKING_PRICE_SHARE} AS thr FROM splitted WHERE split = 'train'), "
+            "nw AS (SELECT * FROM splitted WHERE split = 'test'), "
+            f"n1 AS (SELECT nw.*, coalesce(abs((property_size - trz.m) / trz.s) > {PP.C.Z_THRESHOLD}, false) AS __flag, "
+            f"coalesce({land}, {gen}) AS __val, {land} IS NOT NULL AS __is_land FROM nw, trz), "
+            "n1b AS (SELECT * REPLACE (CASE WHEN NOT __flag THEN property_size WHEN __val IS NULL THEN NULL "
+            f"WHEN __is_land OR coalesce(__val <> 0 AND property_size / __val > 0 AND ({shift}), false) "
+            "THEN round_even(__val, 0) ELSE property_size END AS property_size) FROM n1), "
+            f"n2 AS (SELECT * REPLACE (CASE WHEN bedroom >= {PP.C.BEDROOM_LIMIT} AND {bed} IS NOT NULL AND {bed} <> bedroom "
+            f"THEN {bed} ELSE bedroom END AS bedroom) FROM n1b), "
+            f"n3 AS (SELECT n2.* REPLACE (CASE WHEN coalesce(parking_lot >= {PP.C.PARKING_LIMIT} AND price < trz.thr, false) "
+            "THEN NULL ELSE parking_lot END AS parking_lot) FROM n2, trz), "
+            f"{nfeat}, "
+            f"vocab AS (SELECT DISTINCT unnest({S.parse_list('facilities')}) AS item FROM feat WHERE split = 'train'), "
+            "st AS (SELECT coalesce(state, 'Unknown') AS s FROM feat WHERE split = 'train'), "
+            f"rs AS (SELECT s AS v FROM st GROUP BY 1 HAVING count(*) < {PP.C.RARE_STATE_THRESHOLD}), "
+            "sc AS (SELECT DISTINCT CASE WHEN s IN (SELECT v FROM rs) THEN 'Other' ELSE s END AS c FROM st), "
+            "skept AS (SELECT c FROM sc WHERE c > (SELECT min(c) FROM sc)), "
+            "rt AS (SELECT property_type AS v FROM feat WHERE split = 'train' AND property_type IS NOT NULL "
+            f"GROUP BY 1 HAVING count(*) < {PP.C.RARE_PROPERTY_TYPE_THRESHOLD}), "
+            "tc AS (SELECT DISTINCT CASE WHEN property_type IN (SELECT v FROM rt) THEN 'Other' ELSE property_type END "
+            "AS c FROM feat WHERE split = 'train' AND property_type IS NOT NULL), "
+            "tkept AS (SELECT c FROM tc WHERE c > (SELECT min(c) FROM tc)), "
+            f"med AS (SELECT {meds} FROM feat WHERE split = 'train') "
+            "SELECT ad_id, feature, round(value, 6) AS value FROM (" + " UNION ALL ".join(parts) + ")")
+
+
+_OR['p4_apply'] = _p4_sql()
