@@ -79,7 +79,7 @@ CUT = outliers.chi2_cutoff_df2(C.CHI2_P)
 
 
 @query('f4_mahalanobis', rnd(f"{W('splitted')}, {_M.format(x='floors', y='total_units')} "
-       f"SELECT (SELECT n FROM mm) AS pairs, {CUT!r} AS cutoff, CAST(coalesce(sum(CASE WHEN d2 > {CUT!r} THEN 1 END), 0) "
+       f"SELECT (SELECT n FROM mm) AS pairs, CAST({CUT!r} AS DOUBLE) AS cutoff, CAST(coalesce(sum(CASE WHEN d2 > {CUT!r} THEN 1 END), 0) "
        "AS BIGINT) AS outliers FROM d", ['cutoff']))
 def f4(spark, sf):
     return round_doubles(outliers.mahalanobis_table(_train(stage(spark, sf, 'splitted')), 'floors', 'total_units'))

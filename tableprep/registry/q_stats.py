@@ -140,7 +140,7 @@ def k11(spark, sf):
 
 @query('k12_flag_effect', rnd("WITH d AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS f, l_extendedprice AS y "
        "FROM lineitem) SELECT regr_r2(y, f) AS r2, regr_slope(y, f) AS slope, regr_intercept(y, f) AS intercept, "
-       "regr_count(y, f) AS n, sign(regr_slope(y, f)) * sqrt(regr_r2(y, f) * (regr_count(y, f) - 2) / "
+       "CAST(regr_count(y, f) AS BIGINT) AS n, sign(regr_slope(y, f)) * sqrt(regr_r2(y, f) * (regr_count(y, f) - 2) / "
        "(1 - regr_r2(y, f))) AS t FROM d", ['r2', 'slope', 'intercept', 't']))
 def k12(spark, sf):
     d = table(spark, sf, 'lineitem').select((F.col('l_returnflag') == 'R').cast('int').alias('f'),

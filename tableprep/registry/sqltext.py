@@ -103,7 +103,7 @@ def parse_list(x: str) -> str:
 
 def list_count(x: str) -> str:
     items = f"list_transform(string_split({x}, ','), lambda s: {strip('s')})"
-    return f"coalesce(len(list_filter({items}, lambda s: {_item_keep('s')})), 0)"
+    return f"CAST(coalesce(len(list_filter({items}, lambda s: {_item_keep('s')})), 0) AS INTEGER)"
 
 
 def fingerprint(cols) -> str:
