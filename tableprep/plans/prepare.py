@@ -10,15 +10,16 @@ accounting (B17, D9).
 
 Every fitted parameter comes from the training rows only and is kept in
 `PreparedTable.params`; `plans.apply.transform` replays them on new rows.
-The split result is checkpointed (reliable checkpoint into the shared
-checkpoint folder), so the fits after it re-read materialised rows and a lost
-executor does not replay the cleaning plan.
+The split result is written as a parquet table into the shared checkpoint
+folder and read back, so the fits after it scan only the columns they need
+and a lost executor re-reads files instead of replaying the cleaning plan.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from tableprep import config as C
 from tableprep.config import PrepareConfig
 from tableprep.functions import text as X
 from tableprep.operators import clean, dedup, encode, extract, features, impute, outliers, profile, split
-from tableprep.session import cut_lineage
+from tableprep.session import materialize
 
 CONVERSION_RULES = {
     'price': 'currency', 'property_size': 'before_unit',
@@ -191,10 +192,13 @@ def prepare(raw: DataFrame, cfg: PrepareConfig = PrepareConfig(), corrections: D
     c = cfg.cols
     df, logs = until_split(raw, cfg)
     if checkpoint:
-        df = cut_lineage(df)
+        df = materialize(df, 'split-stage')
     df, olog, oparams = outlier_rules(df, cfg, corrections)
     logs.update(olog)
-    df = fixed_features(df, cfg)
+    # The encoder and imputation fits, the accounting and the caller all read the
+    # featured rows: keep them once (spills to disk; a lost block is recomputed
+    # from the checkpoint above, not from the raw scan).
+    df = fixed_features(df, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     df, eda, eparams, ereports = encode_fit_apply(df, cfg)
     eda = eda.withColumn(c.price, F.bround(F.col(c.price), 0).cast('long'))
     df, drop_report = clean.drop_columns(df, {'no_engineering': DROP_NO_ENGINEERING,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableprep.plans import prepare as PP
-from tableprep.session import cut_lineage
+from tableprep.session import materialize
 from tableprep.sources import fixtures
 
 QUERIES: dict = {}
@@ -60,9 +60,9 @@ def stage(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if name == 'splitted':
         return PP.until_split(r)[0]
     if name == 'outl':
-        # fitted stages start from a reliable checkpoint of the split table, so
-        # each fit re-reads materialised rows instead of replaying the merge
-        return PP.outlier_rules(cut_lineage(PP.until_split(r)[0]), PP.PrepareConfig())[0]
+        # fitted stages start from the split table written to the checkpoint
+        # folder, so each fit scans it instead of replaying the merge
+        return PP.outlier_rules(materialize(PP.until_split(r)[0], 'split-stage'), PP.PrepareConfig())[0]
     if name == 'feat':
         return PP.fixed_features(stage(spark, sf, 'outl'))
     raise KeyError(name)

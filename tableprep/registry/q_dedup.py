@@ -103,7 +103,7 @@ def d11(spark, sf):
     return dedup.duplicate_impact(stage(spark, sf, 'merged'), 'property_type', ['ad_id', 'description'])
 
 
-_CD_ORDER = f"-({S.completeness(LISTING_COLUMNS)}) AS __c, {S.fingerprint(LISTING_COLUMNS)} AS __t"
+_CD_ORDER = f"{S.row_order(LISTING_COLUMNS)} AS __o"
 
 
 @query('d12_collapse_near_duplicates', f"{W('merged')}, {_ND_GROUPS}, "
@@ -111,7 +111,7 @@ _CD_ORDER = f"-({S.completeness(LISTING_COLUMNS)}) AS __c, {S.fingerprint(LISTIN
        f"ON {_ND_JOIN}), mem AS (SELECT * EXCLUDE (group_id) REPLACE (group_id AS ad_id) FROM tagged "
        f"WHERE group_id IS NOT NULL), rk AS (SELECT *, {_CD_ORDER} FROM mem) "
        "SELECT * EXCLUDE (group_id) FROM tagged WHERE group_id IS NULL UNION ALL SELECT ad_id, " +
-       ", ".join(f"arg_min({c}, (__c, __t)) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in STR) +
+       ", ".join(f"arg_min({c}, __o) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in STR) +
        " FROM rk GROUP BY ad_id")
 def d12(spark, sf):
     return dedup.collapse_near_duplicates(stage(spark, sf, 'merged'), ['ad_id', 'description'],

@@ -115,6 +115,12 @@ def completeness(cols) -> str:
     return " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in cols)
 
 
+def row_order(cols) -> str:
+    """Same merge priority as the library: (127 − completeness)·2^56 + 56 md5 bits."""
+    return (f"CAST(127 - ({completeness(cols)}) AS BIGINT) * 72057594037927936 + "
+            f"('0x' || substr({fingerprint(cols)}, 1, 14))::BIGINT")
+
+
 def split_case(key: str = 'ad_id', seed: int = C.SPLIT_SEED) -> str:
     h = f"('0x' || substr(md5('{seed}|' || coalesce(CAST({key} AS VARCHAR), chr(0))), 1, 8))::BIGINT"
     return f"CASE WHEN {h} < {HALF} THEN 'test' ELSE 'train' END"
@@ -130,9 +136,9 @@ def clean_cte() -> str:
 
 def merged_cte() -> str:
     cols = LISTING_COLUMNS
-    agg = ", ".join(f"arg_min({c}, (__c, __t)) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in STR_COLS)
+    agg = ", ".join(f"arg_min({c}, __o) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in STR_COLS)
     return (f"exact AS (SELECT DISTINCT * FROM clean), "
-            f"ranked AS (SELECT *, -({completeness(cols)}) AS __c, {fingerprint(cols)} AS __t FROM exact), "
+            f"ranked AS (SELECT *, {row_order(cols)} AS __o FROM exact), "
             f"merged AS (SELECT ad_id, {agg} FROM ranked WHERE ad_id IS NOT NULL GROUP BY ad_id)")
 
 

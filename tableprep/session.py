@@ -75,3 +75,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def materialize(df: DataFrame, name: str = 'stage') -> DataFrame:
+    """Cut lineage by writing a parquet table into the shared checkpoint folder
+    and reading it back. Unlike an RDD checkpoint, the re-read table keeps
+    column pruning and filter pushdown, so each later fit scans only the
+    columns it needs; a lost executor re-reads the files instead of replaying
+    the plan that produced them."""
+    import uuid
+    path = scratch_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode('overwrite').parquet(path)
+    return df.sparkSession.read.parquet(path)
