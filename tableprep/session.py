@@ -51,16 +51,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used after the split so every later ``fit`` starts from materialised rows
-    (executor loss re-reads them instead of replaying the whole cleaning plan).
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder under the checkpoint root for stage tables written by sinks."""
     root = ensure_checkpoint_dir(spark)
