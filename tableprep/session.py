@@ -7,7 +7,6 @@ absent (local runs, tests) is a fresh scratch folder chosen.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,26 +37,28 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, choosing a scratch one only if unset."""
+    """The shared folder for stage tables and checkpoints.
+
+    It is the one the session names in ``spark.checkpoint.dir``. Where that is
+    unset, a scratch folder is chosen for a single-process master (``local[n]``,
+    as in tests); any other master raises, since its executors would not see it.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="tableprep-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
-    return path
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="tableprep-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the checkpoint root for stage tables written by sinks."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, name)
-    return path
+    """A folder under the checkpoint root for stage tables written by sinks. The
+    root keeps its scheme, so every reader resolves it to the same file system."""
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/" + name
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
