@@ -58,16 +58,17 @@ def balance(hist: DataFrame, goals: DataFrame, cap: float = 2.0, tolerance: floa
         x = F.col("size") / F.col("unit")
         raw = F.exp(F.least(F.col("lam") * x, F.lit(700.0)))
         part = hist.join(state, hist["source"].eqNullSafe(state["source"])).where(F.col("lam") < float("inf"))
+        exact = lambda c: F.sum(c.cast("decimal(38,6)")).cast("double")  # noqa: E731  in any order the same sum
         sums = part.groupBy(state["source"].alias("s")).agg(
-            F.sum(F.col("n") * F.col("size") * F.least(raw, F.lit(cap))).alias("got"),
-            F.sum(F.when(raw < cap, F.col("n") * F.col("size") * x * raw).otherwise(0.0)).alias("slope"))
+            exact(F.col("n") * F.col("size") * F.least(raw, F.lit(cap))).alias("got"),
+            exact(F.when(raw < cap, F.col("n") * F.col("size") * x * raw).otherwise(0.0)).alias("slope"))
         gap = F.col("got") - F.col("target")
         lo, hi = F.when(gap < 0, F.col("lam")).otherwise(F.col("lo")), F.when(gap > 0, F.col("lam")).otherwise(F.col("hi"))
         newton = F.col("lam") - F.when(F.col("slope") > 0, gap / F.col("slope"))
         inside = newton.isNotNull() & (newton > F.col("lo2")) & (newton < F.col("hi2"))
         beyond = F.when(F.col("lo2") == float("-inf"), F.least(F.col("hi2") * 2, F.col("hi2") - 1)).when(
             F.col("hi2") == float("inf"), F.greatest(F.col("lo2") * 2, F.col("lo2") + 1)).otherwise((F.col("lo2") + F.col("hi2")) / 2)
-        done = F.col("got").isNull() | (F.abs(gap) <= F.greatest(F.col("target") * tolerance, F.lit(1e-9))) | (F.col("hi2") - F.col("lo2") <= F.abs(F.col("lam")) * 1e-15)
+        done = F.col("got").isNull() | (F.abs(gap) <= F.greatest(F.col("target") * tolerance, F.lit(1e-4))) | (F.col("hi2") - F.col("lo2") <= F.abs(F.col("lam")) * 1e-15)
         state = stage(state.join(sums, state["source"].eqNullSafe(sums["s"]), "left")
                       .withColumn("lo2", lo).withColumn("hi2", hi).withColumn("done", done)
                       .select("source", "source_size", "target", "unit",

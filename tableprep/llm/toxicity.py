@@ -2,7 +2,7 @@
 
 The categories are 'toxic in language L' for each language that has enough toxic
 rows among the training rows, and 'toxic' itself, last. They are predicted one
-after another by linear models over words; a later model also sees the earlier
+after another by linear models over words and word stems; a later model also sees the earlier
 categories' probabilities, which for its training come from models that did not see
 the row (out-of-fold). Language and label are read for training only.
 """
@@ -24,6 +24,13 @@ from tableprep.llm.common import slices, stage
 TOXIC_ROWS, CLEAN_ROWS, WORDS, FOLDS, LEAST_ROWS = 2500, 5000, 512, 3, 60
 
 _WORD = re.compile(r"\w+")
+STEMS = (4, 5, 6, 7)
+
+
+def terms(text: str) -> set[str]:
+    """The distinct lower-case words, and as 'stem*' the first letters of longer ones."""
+    words = set(_WORD.findall(text.lower()))
+    return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
 
 
 @dataclass
@@ -45,7 +52,7 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def _fit_linear(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1.0, steps: int = 12) -> np.ndarray:
+def _fit_linear(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 0.3, steps: int = 12) -> np.ndarray:
     """Weighted ridge logistic regression by Newton steps; the last weight is the bias.
     Without both outcomes the model is the constant of their (smoothed) share."""
     if y.min(initial=1) == y.max(initial=0):
@@ -87,12 +94,12 @@ def fit_chain(x: np.ndarray, ys: np.ndarray, weight: np.ndarray, fold: np.ndarra
 
 
 def _word_sets(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep..., words): the distinct lower-case words of each text."""
+    """(keep..., words): the terms of each text."""
     types = dict(rows.dtypes)
 
     def run(batches):
         for batch, texts in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array([sorted(set(_WORD.findall(t.lower()))) for t in texts], pa.list_(pa.string()))],
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array([sorted(terms(t)) for t in texts], pa.list_(pa.string()))],
                                              names=[*keep, "words"])
     return rows.mapInArrow(run, ", ".join(f"{k} {types[k]}" for k in keep) + ", words array<string>")
 
@@ -145,7 +152,7 @@ def score_texts(chain: Chain, texts: list[str]) -> np.ndarray:
     index = {w: i for i, w in enumerate(chain.words)}
     x = np.zeros((len(texts), len(chain.words)))
     for r, t in enumerate(texts):
-        for w in index.keys() & set(_WORD.findall(t.lower())):
+        for w in index.keys() & terms(t):
             x[r, index[w]] = 1
     return chain.probabilities(x)
 
