@@ -7,14 +7,18 @@ join follows set-relation skipping (Wang et al. 2017):
     counted exactly and ordered rarest first; all others come after them by hash.
     Two sets that link share one of their first n - ceil(t * n) + 1 shingles in this
     order. A set's shingles that no other set has need no index entry.
-2.  Answers from a similar set. Each index list has a hub, the list's least class.
+2.  Answers from a similar set. Each index list has a hub: the class whose shingles are
+    the most widely shared, as those of the text that others were copied from are.
     Every class is compared exactly with the hubs of its lists; what links is joined
     into components.
 3.  Skipping. Jaccard distance is a metric, so with d_x and d_y the distances of x and
     y to their list's hub, x and y can't link when |d_x - d_y| > 1 - t. Lists are cut
     into blocks by that distance; only blocks side by side meet, and in them pairs
     are skipped by size, by position in the list order, and where both are already
-    in one component. What remains is compared exactly.
+    in one component. Classes near one hub h share at most min(|x & h|, |y & h|)
+    shingles plus those that both have beside the hub's; so such a pair is a
+    candidate only where the first part is enough, or through an index of the
+    shingles beside the hub's. What remains is compared exactly.
 """
 
 from __future__ import annotations
@@ -34,6 +38,10 @@ N, NUM, DEN = 4, 85, 100
 #: Share of the hash space whose shingles are counted; at least 1 - NUM / DEN.
 REGION = 0.2
 
+#: Distance up to which a class counts as near a hub and its shingles beside the
+#: hub's are indexed. It moves pairs from one exact way to the other, no results.
+NEAR = 0.65
+
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -111,8 +119,9 @@ def signatures(docs: DataFrame, n: int, num: int, den: int, region: float, id_co
 
 
 def compare(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """(x, y, nx, ny, overlap) of each pair of classes, from their whole texts
-    (texts: cid, text). A pair's texts meet in one row; neighbours that share x
+    """(x, y, nx, ny, overlap, beside) of each pair of classes, from their whole texts
+    (texts: cid, text); beside: the shingles of y that x lacks, where they are NEAR,
+    else null. A pair's texts meet in one row; neighbours that share x
     have its set worked out once."""
     t = pairs.join(texts.select(F.col("cid").alias("y"), F.col("text").alias("ty")), "y")
     t = t.join(texts.select(F.col("cid").alias("x"), F.col("text").alias("tx")), "x")
@@ -121,17 +130,20 @@ def compare(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
         last, left = None, None
         for batch, tx in slices(batches, "tx"):
             xs, ys, ty = batch.column("x").to_pylist(), batch.column("y").to_pylist(), batch.column("ty").to_pylist()
-            nx, ny, both = [], [], []
+            nx, ny, both, beside = [], [], [], []
             for x, a, b in zip(xs, tx, ty, strict=True):
                 if x != last:
                     last, left = x, shingle_set(a, n)
                 right = shingle_set(b or "", n)
                 nx.append(len(left))
                 ny.append(len(right))
-                both.append(len(np.intersect1d(left, right, assume_unique=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (xs, ys, nx, ny, both)], names=["x", "y", "nx", "ny", "overlap"])
+                own = right[~np.isin(right, left, assume_unique=True, kind="sort")]
+                both.append(len(right) - len(own))
+                beside.append(own.view(np.int64) if both[-1] >= (1 - NEAR) * (len(left) + len(own)) else None)
+            yield pa.RecordBatch.from_arrays([*[pa.array(v, pa.int64()) for v in (xs, ys, nx, ny, both)], pa.array(beside, pa.list_(pa.int64()))],
+                                             names=["x", "y", "nx", "ny", "overlap", "beside"])
 
-    return t.select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long, nx long, ny long, overlap long")
+    return t.select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long, nx long, ny long, overlap long, beside array<long>")
 
 
 def links(num: int, den: int) -> Column:
@@ -163,10 +175,12 @@ def similar_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN,
     position = F.when(F.col("low"), F.col("inside") - F.col("shared") + F.col("r") - 1).otherwise(F.col("i"))
     prefix = F.col("n") - F.ceil(F.col("n") * num / den) + 1
     kept = (entries.withColumn("low", low).withColumn("r", F.row_number().over(by_rank)).withColumn("shared", shared)
-            .withColumn("pos", position).where(F.col("pos") < prefix).select("token", "cid", "n", "pos"))
+            .withColumn("central", F.sum("df").over(Window.partitionBy("cid")) / F.col("n"))
+            .withColumn("pos", position).where(F.col("pos") < prefix).select("token", "cid", "n", "pos", "central"))
     whole = Window.partitionBy("token")
+    best = F.max(F.struct(F.col("central"), (-F.col("cid")).alias("c"))).over(whole)["c"]
     kept = stage(kept.withColumn("list", F.count(F.lit(1)).over(whole)).where("list > 1")
-                 .withColumn("hub", F.min("cid").over(whole)).select("token", "cid", "n", "pos", "hub"), "join-index")
+                 .withColumn("hub", -best).select("token", "cid", "n", "pos", "hub"), "join-index")
 
     # texts of the classes in the index
     wanted = kept.select("cid").distinct()
@@ -178,29 +192,26 @@ def similar_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN,
     first = tested.where(links(num, den)).select(F.col("x").alias("a"), F.col("y").alias("b"))
     linked = stage(components(first), "join-roots")
 
-    # 3. the rest of each list that holds several components, in blocks by distance to the hub
-    far = 1 - num / den
-    width = far + 1e-6  # a block is a little wider, for rounding
+    # 3. each class with the hub, of those it is near, that most classes are near
+    near = tested.where("beside is not null").select(F.col("x").alias("h"), F.col("y").alias("cid"), F.col("overlap").alias("o"), "beside")
+    hubs = tested.groupBy(F.col("x").alias("h")).agg(F.min("nx").alias("o")).select("h", F.col("h").alias("cid"), "o", F.array().cast("array<bigint>").alias("beside"))
+    near = near.unionByName(hubs)
+    weight = near.groupBy("h").agg(F.count(F.lit(1)).alias("weight"))
+    home = near.select("h", "cid").join(weight, "h").groupBy("cid").agg(F.max(F.struct("weight", (-F.col("h")).alias("h")))["h"].alias("h")).select("cid", (-F.col("h")).alias("h"))
+    near = stage(near.join(home, ["h", "cid"]), "join-near")
+
     distance = F.when(F.col("cid") == F.col("hub"), F.lit(0.0)).otherwise(1 - F.col("overlap") / (F.col("nx") + F.col("ny") - F.col("overlap")))
-    e = (kept.join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-         .join(tested.select(F.col("x").alias("hub"), F.col("y").alias("cid"), "nx", "ny", "overlap"), ["hub", "cid"], "left")
-         .select("token", "cid", "n", "pos", "hub", "root", distance.alias("d")))
-    e = stage(e.withColumn("least", F.min("root").over(whole)).withColumn("most", F.max("root").over(whole)).where("least < most").drop("least", "most"), "join-rest")
-    block = F.floor(F.col("d") / width).cast("int")
-    a = e.where("cid <> hub").withColumn("block", block)
-    b = a.withColumn("block", F.explode(F.array(block - 1, block, block + 1)))
-    a = a.select("token", "block", *[F.col(c).alias(f"a_{c}") for c in ("cid", "n", "pos", "root", "d")])
-    b = b.select("token", "block", *[F.col(c).alias(f"b_{c}") for c in ("cid", "n", "pos", "root", "d")])
-    both = F.col("a_n") + F.col("b_n")
-    # at most so many shared shingles, where this list is that of the first one
-    most = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
-    on = ((F.col("a_cid") < F.col("b_cid")) & (F.col("a_root") != F.col("b_root"))
-          & (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num)
-          & (F.abs(F.col("a_d") - F.col("b_d")) <= far + 1e-9)
-          & (most * (num + den) >= both * num))
-    rest = a.join(b, ["token", "block"]).where(on).select(F.col("a_cid").alias("x"), F.col("b_cid").alias("y")).distinct()
-    more = compare(rest, texts, n).where(links(num, den)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    roots = stage(components(first.unionByName(more)), "join-roots")
+    entries = (kept.join(tested.select(F.col("x").alias("hub"), F.col("y").alias("cid"), "nx", "ny", "overlap"), ["hub", "cid"], "left")
+               .join(near.select("cid", "h"), "cid", "left").select("token", "cid", "n", "pos", "hub", "h", distance.alias("d")))
+    entries = stage(entries, "join-lists")
+    near = stage(near.join(classes.select("cid", "n"), "cid").join(hubs.select("h", F.col("o").alias("hn")), "h"), "join-homes")
+    # first a sixteenth of the pairs, which joins most of a family; then all that are still apart
+    found, roots = first, linked
+    for share in (16, 1):
+        rest = stage(_rest(entries, near, roots, num, den, share), "join-pairs")
+        more = stage(compare(rest, texts, n).where(links(num, den)).select(F.col("x").alias("a"), F.col("y").alias("b")), "join-links")
+        found = found.unionByName(more)
+        roots = stage(components(found), "join-roots")
 
     # classes to components, components to their smallest id
     c = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
@@ -210,6 +221,47 @@ def similar_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN,
     return out.unionByName(sig.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def _rest(entries: DataFrame, near: DataFrame, roots: DataFrame, num: int, den: int, share: int) -> DataFrame:
+    """(x, y): pairs of different components that may link; with ``share`` above 1 that
+    part of them, by hash."""
+    far = 1 - num / den
+    width = far + 1e-6  # a block is a little wider, for rounding
+    cols = ["cid", "n", "root"]
+
+    def rooted(df: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys)
+        df = df.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+        return df.withColumn("least", F.min("root").over(w)).withColumn("most", F.max("root").over(w)).where("least < most").drop("least", "most")
+
+    def sides(df: DataFrame, keys: list[str], more: list[str], block: bool = True) -> DataFrame:
+        """Self-join on keys, and on blocks side by side by distance d."""
+        a = df.withColumn("block", F.floor(F.col("d") / width).cast("int")) if block else df.withColumn("block", F.lit(0))
+        b = a.withColumn("block", F.explode(F.array(*[F.col("block") + i for i in (-1, 0, 1)]))) if block else a
+        on = [*keys, "block"]
+        pair = a.select(*on, *[F.col(c).alias(f"a_{c}") for c in cols + more]).join(b.select(*on, *[F.col(c).alias(f"b_{c}") for c in cols + more]), on)
+        few = F.pmod(F.xxhash64("a_cid", "b_cid"), F.lit(share)) == 0 if share > 1 else F.lit(True)
+        return pair.where((F.col("a_cid") < F.col("b_cid")) & (F.col("a_root") != F.col("b_root")) & few
+                          & (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num))
+
+    both, close = F.col("a_n") + F.col("b_n"), F.abs(F.col("a_d") - F.col("b_d")) <= far + 1e-9
+    # by index lists: classes without a common near hub. The shared shingles are at most
+    # what follows in either set, where this list is that of the first one
+    after = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
+    apart = F.col("a_h").isNull() | F.col("b_h").isNull() | (F.col("a_h") != F.col("b_h"))
+    by_list = (sides(rooted(entries, ["token"]).where("cid <> hub"), ["token"], ["pos", "d", "h"])
+               .where(apart & close & (after * (num + den) >= both * num)).select(F.col("a_cid").alias("x"), F.col("b_cid").alias("y")).distinct())
+    # by near hub: what both share with the hub may be enough
+    home = near.withColumn("d", 1 - F.col("o") / (F.col("n") + F.col("hn") - F.col("o")))
+    by_home = (sides(rooted(home.drop("beside"), ["h"]), ["h"], ["o", "d"]).where(close & (F.least("a_o", "b_o") * (num + den) >= both * num))
+               .select(F.col("a_cid").alias("x"), F.col("b_cid").alias("y")))
+    # by near hub and shingles beside the hub's
+    own = rooted(near.select("h", "cid", "n", "o", F.explode("beside").alias("s")), ["h", "s"])
+    by_own = (sides(own, ["h", "s"], ["o"], block=False).groupBy(F.col("a_cid").alias("x"), F.col("b_cid").alias("y"))
+              .agg(F.count(F.lit(1)).alias("c"), F.first(F.least("a_o", "b_o")).alias("o"), F.first(both).alias("n"))
+              .where((F.col("o") + F.col("c")) * (num + den) >= F.col("n") * num).select("x", "y"))
+    return by_list.unionByName(by_home).unionByName(by_own).distinct()
+
+
 def _texts(docs: DataFrame, sig: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(cid, text) for the wanted classes: the text of the class's own row, found by its
     id and the hash of its text."""
