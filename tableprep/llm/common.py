@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,10 @@ def slices(batches, text_col: str, limit: int = SLICE_CHARS):
 
 
 # White space as the tokenizers' patterns see it (Python's \s also has 1C-1F).
-_CHUNK = re.compile(r" ?[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+(?![\S\x1c-\x1f])|[^\S\x1c-\x1f]+")
+# A run of plain letters before a blank, point or comma is a word in either pattern.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(f" [{_LETTERS}]+")
+_CHUNK = re.compile(rf" ?[{_LETTERS}]++(?=[ \n.,])|" r" ?[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+(?![\S\x1c-\x1f])|[^\S\x1c-\x1f]+")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -56,12 +59,21 @@ class Encoder:
     a special token is encoded by the library in one piece. The cache is emptied
     when it has CACHE words or ids, so its size doesn't follow the data."""
 
-    CACHE = 400_000
+    CACHE = 800_000
+    JOINED = 2000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        suffix = self.tok.model.end_of_word_suffix
+        self.word_end, self.size = None, np.zeros(max(vocab.values()) + 1, np.int64)
+        if suffix:
+            self.word_end = np.zeros(len(self.size), bool)
+            self.word_end[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        else:  # byte-level: a character of a token is a byte
+            self.size[list(vocab.values())] = [len(t) for t in vocab]
         self.clear()
 
     @classmethod
@@ -76,18 +88,40 @@ class Encoder:
         self.index: dict[str, int] = {}
         self.flat, self.starts = array("I"), array("q", [0])
 
+    def _learn(self, new: list[str]):
+        """Encodes new words; plain ones many in one call, cut apart again at the ids that
+        end a word, or by the bytes that the ids stand for."""
+        plain = [c for c in new if _PLAIN.fullmatch(c)]
+        whole = [c for c in new if not _PLAIN.fullmatch(c)]
+        for i in range(0, len(plain), self.JOINED):
+            some = plain[i:i + self.JOINED]
+            ids = np.array(self.tok.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            if self.word_end is not None:
+                ends = np.flatnonzero(self.word_end[ids]) + 1
+            else:
+                ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(c.encode()) for c in some])) + 1
+            assert len(ends) == len(some) and ends[-1] == len(ids)
+            base = len(self.flat)
+            self.flat.frombytes(ids.tobytes())
+            self.index.update(zip(some, range(len(self.starts) - 1, len(self.starts) - 1 + len(some)), strict=True))
+            self.starts.extend((base + ends).tolist())
+        for c, e in zip(whole, self.tok.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+            self.index[c] = len(self.starts) - 1
+            self.flat.extend(e.ids)
+            self.starts.append(len(self.flat))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the texts' offsets in them."""
-        if len(self.index) > self.CACHE or len(self.flat) > 8 * self.CACHE:
+        if len(self.index) > self.CACHE or len(self.flat) > 6 * self.CACHE:
             self.clear()
         chunks = [[t] if any(s in t for s in self.special) else _CHUNK.findall(t) for t in texts]
-        new = [c for c in set(chain.from_iterable(chunks)) if c not in self.index]
-        for c, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.index[c] = len(self.starts) - 1
-            self.flat.extend(e.ids)
-            self.starts.append(len(self.flat))
         counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(chunks)), np.int64, int(counts.sum()))
+        every = list(chain.from_iterable(chunks))
+        at = np.fromiter(map(self.index.get, every, repeat(-1)), np.int64, len(every))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            self._learn(list({every[i] for i in unknown}))
+            at[unknown] = [self.index[every[i]] for i in unknown]
         starts = np.array(self.starts, np.int64)
         begin, size = starts[at], starts[at + 1] - starts[at]
         ends = np.concatenate([[0], np.cumsum(size)])
