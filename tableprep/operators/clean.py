@@ -16,10 +16,6 @@ from pyspark.sql import types as T
 from tableprep.functions import text as X
 from tableprep.operators import profile as P
 
-# Above this many correction rows the keyed update uses a shuffle join instead
-# of broadcasting the correction table.
-BROADCAST_ROWS = 100_000
-
 
 def _q(c: str):
     return F.col(f"`{c}`")
@@ -96,24 +92,24 @@ def apply_corrections(df: DataFrame, corrections: DataFrame, key: str):
     """Set listed columns to confirmed values for listed keys.
 
     `corrections` has columns (key, column, value, note); values are text and
-    are cast to the target column's type. Returns (df, unmatched keys).
-    The correction table is broadcast only after its row count is checked.
+    are cast to the target column's type (missing where they can't be). Where a
+    cell has several fixes, the one with the largest `seq` wins if there is such
+    a column, else the largest value. Returns (df, unmatched keys).
     """
     cols = [r['column'] for r in corrections.select('column').distinct().collect()]
     unknown = set(cols) - set(df.columns)
     if unknown:
         raise ValueError(f"corrections name unknown columns: {sorted(unknown)}")
-    wide = corrections.groupBy(F.col(key)).pivot('column', cols).agg(F.first('value'))
+    wide = corrections.groupBy(F.col(key)).pivot('column', cols).agg(F.max_by('value', 'seq') if 'seq' in corrections.columns else F.max('value'))
     wide = wide.select(key, *[F.col(f"`{c}`").alias(f"__fix_{i}") for i, c in enumerate(cols)],
                        F.lit(True).alias('__fixed'))
-    small = corrections.count() <= BROADCAST_ROWS
-    right = F.broadcast(wide) if small else wide
-    j = df.join(right, key, 'left')
+    j = df.join(wide, key, 'left')
     out = j.withColumns({
         c: F.when(F.col('__fixed') & F.col(f"__fix_{i}").isNotNull(),
-                  F.col(f"__fix_{i}").cast(df.schema[c].dataType)).otherwise(_q(c))
+                  F.col(f"__fix_{i}").try_cast(df.schema[c].dataType)).otherwise(_q(c))
         for i, c in enumerate(cols)}).select(*df.columns)
-    unmatched = corrections.join(df.select(key), key, 'left_anti')
+    there = df.select(key).join(corrections.select(key).distinct(), key, 'left_semi').distinct()
+    unmatched = corrections.join(there, key, 'left_anti')
     return out, unmatched
 
 

@@ -131,8 +131,8 @@ def near_duplicate_groups(df: DataFrame, ignore, text: str, key: str) -> DataFra
 def torn_groups(df: DataFrame, cols, split: str = 'split') -> DataFrame:
     """Groups equal on `cols` that have rows on more than one side of the split."""
     g = df.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias('n'),
-                                              F.count_distinct(_q(split)).alias('sides'))
-    return g.agg(F.coalesce(F.sum(F.when((F.col('n') > 1) & (F.col('sides') > 1), 1)), F.lit(0))
+                                              (F.min(_q(split)) != F.max(_q(split))).alias('torn'))
+    return g.agg(F.coalesce(F.sum(F.when(F.col('torn'), 1)), F.lit(0))
                  .cast('long').alias('torn_groups'),
                  F.coalesce(F.sum(F.when(F.col('n') > 1, 1)), F.lit(0)).cast('long').alias('identical_groups'))
 
@@ -150,13 +150,10 @@ def identical_groups(df: DataFrame, cols, label: str) -> DataFrame:
 
 def duplicate_impact(df: DataFrame, by: str, ignore) -> DataFrame:
     """Near-duplicate surplus rows per category, relative to its row count."""
-    subset = [c for c in df.columns if c not in set(ignore)]
-    surplus = df.groupBy(*[_q(c) for c in subset]).agg(F.count(F.lit(1)).alias('n')) \
-        .filter('n > 1').groupBy(_q(by).alias(by)).agg(F.sum(F.col('n') - 1).alias('surplus'))
-    rows = df.groupBy(_q(by).alias(by)).agg(F.count(F.lit(1)).alias('rows'))
-    return rows.join(surplus, by, 'left').select(
-        by, 'rows', F.coalesce('surplus', F.lit(0)).cast('long').alias('surplus'),
-        F.round(F.coalesce('surplus', F.lit(0)) * 100.0 / F.col('rows'), 2).alias('surplus_pct'))
+    subset = [c for c in df.columns if c not in set(ignore) or c == by]
+    groups = df.groupBy(*[_q(c) for c in subset]).agg(F.count(F.lit(1)).alias('__n'))
+    out = groups.groupBy(_q(by).alias(by)).agg(F.sum('__n').alias('rows'), F.sum(F.col('__n') - 1).alias('surplus'))
+    return out.select(by, 'rows', 'surplus', F.round(F.col('surplus') * 100.0 / F.col('rows'), 2).alias('surplus_pct'))
 
 
 def collapse_near_duplicates(df: DataFrame, ignore, text: str, key: str, exempt: DataFrame = None) -> DataFrame:

@@ -44,7 +44,7 @@ def fit_zscore(train: DataFrame, cols) -> ZParams:
 
 
 def zscore_expr(c: str, mean, std) -> Column:
-    return (_q(c) - F.lit(mean)) / F.lit(std)
+    return F.try_divide(_q(c) - F.lit(mean), F.lit(std))  # missing where nothing varies
 
 
 def zscore_flags(df: DataFrame, params: ZParams, t: float = C.Z_THRESHOLD, suffix='_z_outlier') -> DataFrame:
@@ -57,10 +57,10 @@ def zscore_flags(df: DataFrame, params: ZParams, t: float = C.Z_THRESHOLD, suffi
 
 def zscore_by_group(df: DataFrame, col: str, by: str) -> DataFrame:
     """z of `col` against each group's own mean/std (fit_scope='each').
-    The per-group table has one row per group (e.g. two splits)."""
+    Spark picks the join by the size of the per-group table."""
     g = df.groupBy(by).agg(F.avg(_q(col)).alias('__m'), F.stddev_samp(_q(col)).alias('__s'))
-    return df.join(F.broadcast(g), by, 'left').withColumn(
-        '__z', (_q(col) - F.col('__m')) / F.col('__s')).drop('__m', '__s')
+    return df.join(g, by, 'left').withColumn(
+        '__z', F.try_divide(_q(col) - F.col('__m'), F.col('__s'))).drop('__m', '__s')
 
 
 # --- F2/F3 IQR ----------------------------------------------------------------
@@ -72,16 +72,16 @@ class IQRParams:
     k: float
 
     def lo(self, c):
-        return self.q1[c] - self.k * (self.q3[c] - self.q1[c])
+        return None if self.q1[c] is None else self.q1[c] - self.k * (self.q3[c] - self.q1[c])
 
     def hi(self, c):
-        return self.q3[c] + self.k * (self.q3[c] - self.q1[c])
+        return None if self.q1[c] is None else self.q3[c] + self.k * (self.q3[c] - self.q1[c])
 
 
 def fit_iqr(train: DataFrame, cols, k: float = C.IQR_K) -> IQRParams:
     r = train.agg(*[F.percentile(_q(c), [0.25, 0.75]).alias(f"q{i}") for i, c in enumerate(cols)]).first()
-    return IQRParams({c: r[f"q{i}"][0] for i, c in enumerate(cols)},
-                     {c: r[f"q{i}"][1] for i, c in enumerate(cols)}, k)
+    q = [r[f"q{i}"] or (None, None) for i in range(len(cols))]
+    return IQRParams({c: q[i][0] for i, c in enumerate(cols)}, {c: q[i][1] for i, c in enumerate(cols)}, k)
 
 
 def iqr_flags(df: DataFrame, p: IQRParams, suffix='_iqr_outlier') -> DataFrame:
@@ -135,10 +135,10 @@ def fit_mahalanobis(train: DataFrame, x: str, y: str, p: float = C.CHI2_P) -> Ma
 
 def mahalanobis_sq(p: MahalanobisParams) -> Column:
     """Squared distance with the closed-form inverse of the 2×2 covariance."""
-    det = p.vx * p.vy - p.cxy * p.cxy
+    det = None if p.cxy is None else p.vx * p.vy - p.cxy * p.cxy
     dx = _q(p.x) - F.lit(p.mx)
     dy = _q(p.y) - F.lit(p.my)
-    return (dx * dx * F.lit(p.vy) - F.lit(2.0 * p.cxy) * dx * dy + dy * dy * F.lit(p.vx)) / F.lit(det)
+    return F.try_divide(dx * dx * F.lit(p.vy) - F.lit(2.0 * p.cxy) * dx * dy + dy * dy * F.lit(p.vx), F.lit(det))
 
 
 def mahalanobis_flags(df: DataFrame, p: MahalanobisParams, out: str = 'mahalanobis_outlier') -> DataFrame:

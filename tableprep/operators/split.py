@@ -34,7 +34,9 @@ def split_grouped(df: DataFrame, group_cols, test_frac: float = 0.2, seed: int =
                   out: str = 'split') -> DataFrame:
     """Group-aware split — the hash runs over the group's columns, so all
     rows of a group land on one side without building a group table."""
-    b = hash_bucket(seed, *group_cols)
+    # grouping takes -0.0 and 0.0 for one value, so their text must be one as well
+    kinds = dict(df.dtypes)
+    b = hash_bucket(seed, *[F.col(c) + F.lit(0.0).cast(kinds[c]) if kinds.get(c) in ('double', 'float') else c for c in group_cols])
     return df.withColumn(out, F.when(b < F.lit(int(test_frac * _SPACE)), 'test').otherwise('train'))
 
 

@@ -104,6 +104,8 @@ def kde(df: DataFrame, col: str, grid: int = 200) -> DataFrame:
     st = v.agg(F.count(F.lit(1)).alias('n'), F.min('v').alias('lo'), F.max('v').alias('hi'),
                F.stddev_samp('v').alias('sd')).first()
     n, lo, hi, sd = st['n'], st['lo'], st['hi'], st['sd']
+    if not sd:  # no value, one value or one distinct value: no density
+        return v.sparkSession.createDataFrame([], 'point int, x double, density double')
     h = sd * n ** (-0.2)
     step = (hi - lo) / (grid - 1)
     norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
@@ -145,7 +147,7 @@ def pearson(df: DataFrame, cols, label: str) -> DataFrame:
     out = row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias('feature'), F.col(f"r{i}").alias('r'), F.col(f"n{i}").alias('n'))
         for i, c in enumerate(cols)])).alias('x')).select('x.*')
-    return out.withColumn('t', F.col('r') * F.sqrt((F.col('n') - 2) / (1 - F.col('r') * F.col('r'))))
+    return out.withColumn('t', F.col('r') * F.sqrt(F.try_divide(F.col('n') - 2, 1 - F.col('r') * F.col('r'))))
 
 
 def flag_effect(df: DataFrame, flag: str, label: str) -> DataFrame:
@@ -153,7 +155,7 @@ def flag_effect(df: DataFrame, flag: str, label: str) -> DataFrame:
     r = df.agg(F.regr_r2(_q(label), _q(flag)).alias('r2'), F.regr_slope(_q(label), _q(flag)).alias('slope'),
                F.regr_intercept(_q(label), _q(flag)).alias('intercept'),
                F.regr_count(_q(label), _q(flag)).alias('n'))
-    return r.withColumn('t', F.signum('slope') * F.sqrt(F.col('r2') * (F.col('n') - 2) / (1 - F.col('r2'))))
+    return r.withColumn('t', F.signum('slope') * F.sqrt(F.try_divide(F.col('r2') * (F.col('n') - 2), 1 - F.col('r2'))))
 
 
 def indicator_screen(df: DataFrame, flags, label: str) -> DataFrame:
@@ -180,8 +182,8 @@ def anova(df: DataFrame, by: str, label: str) -> DataFrame:
     r = g.agg(F.sum(F.col('n') * F.pow(F.col('m') - F.lit(t['gm']), 2)).alias('ssb'),
               F.sum(F.coalesce((F.col('n') - 1) * F.col('v'), F.lit(0.0))).alias('ssw'),
               F.lit(t['total_n']).cast('long').alias('n'), F.lit(t['k']).cast('long').alias('groups'))
-    return r.select((F.col('ssb') / (F.col('groups') - 1) / (F.col('ssw') / (F.col('n') - F.col('groups'))))
-                    .alias('f'), 'groups', 'n',
+    between, within = F.try_divide('ssb', F.col('groups') - 1), F.try_divide('ssw', F.col('n') - F.col('groups'))
+    return r.select(F.try_divide(between, within).alias('f'), 'groups', 'n',
                     (F.col('groups') - 1).alias('df_between'), (F.col('n') - F.col('groups')).alias('df_within'))
 
 
