@@ -45,10 +45,11 @@ def slices(batches, text_col: str, limit: int = SLICE_CHARS):
 
 
 # White space as the tokenizers' patterns see it (Python's \s also has 1C-1F).
-# A run of plain letters before a blank, point or comma is a word in either pattern.
+# A run of plain letters before a blank or a sign of ASCII other than the apostrophe
+# is a word in either pattern.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _PLAIN = re.compile(f" [{_LETTERS}]+")
-_CHUNK = re.compile(rf" ?[{_LETTERS}]++(?=[ \n.,])|" r" ?[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+(?![\S\x1c-\x1f])|[^\S\x1c-\x1f]+")
+_CHUNK = re.compile(rf" ?[{_LETTERS}]++(?=[ \n!-&(-/:-@\[-`{{-~])|" r" ?[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+(?![\S\x1c-\x1f])|[^\S\x1c-\x1f]+")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -60,7 +61,7 @@ class Encoder:
     when it has CACHE words or ids, so its size doesn't follow the data."""
 
     CACHE = 800_000
-    JOINED = 2000
+    JOINED = 200
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -68,10 +69,12 @@ class Encoder:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         vocab = self.tok.get_vocab(with_added_tokens=True)
         suffix = self.tok.model.end_of_word_suffix
+        self.plain = Tokenizer.from_file(path)
         self.word_end, self.size = None, np.zeros(max(vocab.values()) + 1, np.int64)
         if suffix:
             self.word_end = np.zeros(len(self.size), bool)
             self.word_end[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+            self.plain.normalizer = None  # it lowers case only, in plain words; _learn does that
         else:  # byte-level: a character of a token is a byte
             self.size[list(vocab.values())] = [len(t) for t in vocab]
         self.clear()
@@ -91,11 +94,16 @@ class Encoder:
     def _learn(self, new: list[str]):
         """Encodes new words; plain ones many in one call, cut apart again at the ids that
         end a word, or by the bytes that the ids stand for."""
-        plain = [c for c in new if _PLAIN.fullmatch(c)]
-        whole = [c for c in new if not _PLAIN.fullmatch(c)]
+        plain, whole = [], []
+        for c in new:
+            (plain if _PLAIN.fullmatch(c) else whole).append(c)
+        cased = {}
+        if self.word_end is not None:
+            cased = {c: low for c in plain if (low := c.lower()) != c}
+            plain = [c for c in dict.fromkeys(cased.get(c, c) for c in plain) if c not in self.index]
         for i in range(0, len(plain), self.JOINED):
             some = plain[i:i + self.JOINED]
-            ids = np.array(self.tok.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ids = np.array(self.plain.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, np.uint32)
             if self.word_end is not None:
                 ends = np.flatnonzero(self.word_end[ids]) + 1
             else:
@@ -105,6 +113,7 @@ class Encoder:
             self.flat.frombytes(ids.tobytes())
             self.index.update(zip(some, range(len(self.starts) - 1, len(self.starts) - 1 + len(some)), strict=True))
             self.starts.extend((base + ends).tolist())
+        self.index.update((c, self.index[low]) for c, low in cased.items())
         for c, e in zip(whole, self.tok.encode_batch_fast(whole, add_special_tokens=False), strict=True):
             self.index[c] = len(self.starts) - 1
             self.flat.extend(e.ids)
