@@ -206,12 +206,11 @@ def similar_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN,
     entries = stage(entries, "join-lists")
     near = stage(near.join(classes.select("cid", "n"), "cid").join(hubs.select("h", F.col("o").alias("hn")), "h"), "join-homes")
     # first a sixteenth of the pairs, which joins most of a family; then all that are still apart
-    found, roots = first, linked
+    roots = linked
     for share in (16, 1):
         rest = stage(_rest(entries, near, roots, num, den, share), "join-pairs")
         more = stage(compare(rest, texts, n).where(links(num, den)).select(F.col("x").alias("a"), F.col("y").alias("b")), "join-links")
-        found = found.unionByName(more)
-        roots = stage(components(found), "join-roots")
+        roots = stage(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "join-roots")
 
     # classes to components, components to their smallest id
     c = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
