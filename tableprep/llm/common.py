@@ -131,10 +131,10 @@ class Encoder:
         if len(unknown):
             self._learn(list({every[i] for i in unknown}))
             at[unknown] = [self.index[every[i]] for i in unknown]
-        starts = np.array(self.starts, np.int64)
+        starts = np.frombuffer(self.starts, np.int64)  # views, gone when this call ends
         begin, size = starts[at], starts[at + 1] - starts[at]
         ends = np.concatenate([[0], np.cumsum(size)])
-        ids = np.array(self.flat, np.uint32)[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])]
+        ids = np.frombuffer(self.flat, np.uint32)[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])]
         return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
 
 
