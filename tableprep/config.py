@@ -94,6 +94,3 @@ class PrepareConfig:
     rare_state: int = RARE_STATE_THRESHOLD
     rare_type: int = RARE_PROPERTY_TYPE_THRESHOLD
     reference_year: int = REFERENCE_YEAR
-    # 'exact' (Spark percentile: memory grows with distinct values) or
-    # 'distributed' (bounded-memory exact quantiles, a few extra passes)
-    quantile_method: str = 'exact'

@@ -58,11 +58,9 @@ def row_fingerprint(cols) -> Column:
 
 
 def row_order(cols) -> Column:
-    """Merge priority of a row as one long: (127 − completeness) in the top
-    bits, 56 bits of the md5 fingerprint below — smaller is preferred. A long
-    ordering keeps the aggregation buffers narrow (tables up to 127 columns)."""
-    fp = F.conv(F.substring(row_fingerprint(cols), 1, 14), 16, 10).cast('long')
-    return (F.lit(127) - completeness(cols)).cast('long') * F.lit(1 << 56) + fp
+    """Merge priority of a row, smaller is preferred: the fuller row, then the
+    smaller whole md5 fingerprint. The same for tables of any width."""
+    return F.struct((-completeness(cols)).alias('c'), row_fingerprint(cols).alias('t'))
 
 
 def merge_by_key(df: DataFrame, key: str) -> DataFrame:
@@ -74,11 +72,7 @@ def merge_by_key(df: DataFrame, key: str) -> DataFrame:
     computed once, before the shuffle, with map-side partial aggregation.
     """
     cols = [c for c in df.columns if c != key]
-    if len(df.columns) <= 127:
-        order = row_order(df.columns)
-    else:
-        order = F.struct((-completeness(df.columns)).alias('c'), row_fingerprint(df.columns).alias('t'))
-    ranked = df.filter(_q(key).isNotNull()).withColumn('__order', order)
+    ranked = df.filter(_q(key).isNotNull()).withColumn('__order', row_order(df.columns))
     merged = ranked.groupBy(key).agg(*[
         F.min_by(_q(c), F.when(_q(c).isNotNull(), F.col('__order'))).alias(c) for c in cols])
     return merged.select(*df.columns)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tableprep import config as C
 from tableprep.functions import text as X
+from tableprep.operators.quantile import exact_quantiles
 
 
 def _q(c: str) -> Column:
@@ -79,9 +80,8 @@ class IQRParams:
 
 
 def fit_iqr(train: DataFrame, cols, k: float = C.IQR_K) -> IQRParams:
-    r = train.agg(*[F.percentile(_q(c), [0.25, 0.75]).alias(f"q{i}") for i, c in enumerate(cols)]).first()
-    q = [r[f"q{i}"] or (None, None) for i in range(len(cols))]
-    return IQRParams({c: q[i][0] for i, c in enumerate(cols)}, {c: q[i][1] for i, c in enumerate(cols)}, k)
+    q = exact_quantiles(train, cols, [0.25, 0.75])
+    return IQRParams({c: q[c][0] for c in cols}, {c: q[c][1] for c in cols}, k)
 
 
 def iqr_flags(df: DataFrame, p: IQRParams, suffix='_iqr_outlier') -> DataFrame:
@@ -93,8 +93,8 @@ def iqr_flags(df: DataFrame, p: IQRParams, suffix='_iqr_outlier') -> DataFrame:
 def iqr_table(df: DataFrame, cols, k: float = C.IQR_K) -> DataFrame:
     """F2 + F3 as one report: quartiles, fences, degenerate flag, outlier count.
 
-    Quartiles are one aggregate (a one-row fit); the counts against the fences
-    are a second aggregate."""
+    Quartiles are a fit of a row per column; the counts against the fences
+    are one aggregate."""
     p = fit_iqr(df, cols, k)
     counts = []
     for i, c in enumerate(cols):

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableprep.operators.quantile import exact_quantiles
+
 
 def _long(row: DataFrame, names, value_cols: dict, name_col: str = 'column') -> DataFrame:
     """Unpivot a one-row aggregate whose columns are `{alias}__{name}`."""
@@ -87,7 +89,7 @@ def missing_per_row(df: DataFrame) -> DataFrame:
 
 
 def _missing_per_row(m: DataFrame) -> DataFrame:
-    q = F.percentile(F.col('m'), [0.25, 0.5, 0.75])
+    q = F.percentile(F.col('m'), [0.25, 0.5, 0.75])  # of counts of columns: as many values as columns at most
     return m.agg(F.count('m').alias('count'), F.avg('m').alias('mean'),
                  F.stddev_samp('m').alias('std'), F.min('m').cast('double').alias('min'),
                  q.alias('q'), F.max('m').cast('double').alias('max')).select(
@@ -166,20 +168,21 @@ def describe_table(df: DataFrame, spec: dict) -> DataFrame:
     """Statistics × variables over non-missing parsed values.
 
     `spec` = {label: (column, rule)} with rule a name in functions.text.RULES
-    or a Column-producing callable. One projection parses every variable, one
-    aggregate computes every statistic, then the result is unpivoted and
-    pivoted back to one column per label (labels are known up front, so the
-    pivot needs no extra pass).
+    or a Column-producing callable. One projection parses every variable, the
+    quantiles of all are read as a fit, one aggregate computes the other
+    statistics, then the result is unpivoted and pivoted back to one column per
+    label (labels are known up front, so the pivot needs no extra pass).
     """
     from tableprep.functions.text import RULES
     labels = list(spec)
     parsed = df.select(*[
         (RULES[rule](F.col(f"`{c}`")) if isinstance(rule, str) else rule(F.col(f"`{c}`"))).alias(f"v{i}")
         for i, (c, rule) in enumerate(spec.values())])
+    fitted = exact_quantiles(parsed, parsed.columns, [0.5, 0.25, 0.75])
     aggs = []
     for i in range(len(labels)):
         v = F.col(f"v{i}")
-        q = F.percentile(v, [0.5, 0.25, 0.75])
+        q = [F.lit(x).cast('double') for x in fitted[f"v{i}"]]
         aggs += [F.count(v).cast('double').alias(f"Count__{i}"),
                  F.round(F.avg(v), 4).alias(f"Mean__{i}"),
                  q[0].alias(f"Median__{i}"),

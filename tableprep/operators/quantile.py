@@ -1,88 +1,86 @@
-"""Exact quantiles with linear interpolation (pandas/NumPy 'linear' method).
+"""Exact quantiles with linear interpolation (pandas/NumPy 'linear' method), in memory
+that doesn't follow the number of distinct values.
 
-method='exact'        Spark's `percentile` aggregate: one pass, memory grows with
-                      the number of *distinct* values (fine for counts, years,
-                      sizes; risky for a continuous column with billions of
-                      distinct values).
-method='distributed'  bounded memory, still exact: an equal-width histogram pass
-                      locates the bin that holds each needed rank, and only that
-                      bin is refined (recursively) until its distinct values fit
-                      in `max_distinct`; then its (value, count) pairs are read.
-                      Each pass is an aggregate with at most `bins` groups.
-method='approx'       `percentile_approx` (not exact; for exploration only).
+Two scans serve all columns, groups and ranks together. The first takes a
+`percentile_approx` sketch per group, asked a little below and above each rank; its
+error is bounded, so the wanted rank lies between the two answers or right beside
+them. The second counts the values between them exactly, and only how many lie below.
+What one group's window orders is the distinct values between the two answers: about
+8 / ACCURACY of the group's rows at most, whatever the distribution.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rank error of a sketch is one ACCURACY-th of its group's rows.
+ACCURACY = 100_000
+
+#: Groups whose fitted rows are broadcast; tables with more are joined without a hint.
+BROADCAST_GROUPS = 1_000
+
 
 def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def exact_quantiles(df: DataFrame, cols, probs, method: str = 'exact', bins: int = 4096,
-                    max_distinct: int = 50_000) -> dict:
-    """{column: [quantile per prob]} over the non-missing values of each column."""
-    cols, probs = list(cols), list(probs)
-    if method == 'exact':
-        r = df.agg(*[F.percentile(_q(c), probs).alias(f"q{i}") for i, c in enumerate(cols)]).first()
-        return {c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else [None] * len(probs))
-                for i, c in enumerate(cols)}
-    if method == 'approx':
-        r = df.agg(*[F.percentile_approx(_q(c), probs, 100000).alias(f"q{i}")
-                     for i, c in enumerate(cols)]).first()
-        return {c: [float(v) for v in r[f"q{i}"]] if r[f"q{i}"] else [None] * len(probs)
-                for i, c in enumerate(cols)}
-    return {c: _distributed(df.select(_q(c).cast('double').alias('v')).filter('v IS NOT NULL'),
-                            probs, bins, max_distinct) for c in cols}
+def join_fitted(df: DataFrame, fitted: DataFrame, by) -> DataFrame:
+    """Inner join of rows to their group's fitted row, missing group values included.
+    The fitted table is read first, one row beyond BROADCAST_GROUPS at most: if it is
+    whole, it is broadcast, so that rows of a hot group stay where they are; if not,
+    Spark picks the join."""
+    head = fitted.limit(BROADCAST_GROUPS + 1).collect()
+    if len(head) <= BROADCAST_GROUPS:
+        fitted = F.broadcast(df.sparkSession.createDataFrame(head, fitted.schema))
+    fitted = fitted.withColumnsRenamed({b: f"__on{i}" for i, b in enumerate(by)})
+    cond = F.lit(True)
+    for i, b in enumerate(by):
+        cond = cond & _q(b).eqNullSafe(F.col(f"__on{i}"))
+    return df.join(fitted, cond).drop(*[f"__on{i}" for i in range(len(by))])
 
 
-def _distributed(v: DataFrame, probs, bins: int, max_distinct: int):
-    st = v.agg(F.count(F.lit(1)).alias('n'), F.min('v').alias('lo'), F.max('v').alias('hi')).first()
-    n = st['n']
-    if not n:
-        return [None] * len(probs)
+def quantile_table(df: DataFrame, by, cols, probs, accuracy: int = ACCURACY) -> DataFrame:
+    """(*by, column, q): per group and column the array of exact quantiles over its
+    non-missing values. Groups without any give no row."""
+    by, cols, probs = list(by), list(cols), list(probs)
+    keys = [*[f"__k{i}" for i in range(len(by))], '__c']
+    cells = df.select(*[_q(b).alias(k) for b, k in zip(by, keys)], F.explode(F.array(*[
+        F.struct(F.lit(c).alias('__c'), _q(c).cast('double').alias('__v')) for c in cols])).alias('r')) \
+        .select(*keys[:-1], 'r.*').filter('__v IS NOT NULL')
+
+    aside = 4.0 / accuracy
+    edges = [e for p in probs for e in (max(0.0, p - aside), min(1.0, p + aside))]
+    sketch = cells.groupBy(*keys).agg(F.percentile_approx('__v', edges, accuracy).alias('__e'))
+    around = join_fitted(cells, sketch, keys).select(*keys, '__v', F.explode(F.array(*[
+        F.struct(F.lit(i).alias('__i'), F.col('__e')[2 * i].alias('__lo'), F.col('__e')[2 * i + 1].alias('__hi'))
+        for i in range(len(probs))])).alias('r')).select(*keys, '__v', 'r.*')
+    side = F.when(F.col('__v') < F.col('__lo'), 0).when(F.col('__v') > F.col('__hi'), 2).otherwise(1)
+    # values outside the answers are one cell a side; only the one next to them can be wanted
+    counted = around.withColumn('__side', side) \
+        .groupBy(*keys, '__i', '__side', F.when(F.col('__side') == 1, F.col('__v')).alias('__at')) \
+        .agg(F.count(F.lit(1)).alias('__m'), F.min('__v').alias('__least'), F.max('__v').alias('__most')) \
+        .withColumn('__val', F.when(F.col('__side') == 0, F.col('__most'))
+                    .when(F.col('__side') == 2, F.col('__least')).otherwise(F.col('__at')))
+    rank = Window.partitionBy(*keys, '__i')
+    ranked = counted.withColumn('__up', F.sum('__m').over(rank.orderBy('__val'))) \
+        .withColumn('__n', F.sum('__m').over(rank))
+
+    pos = [F.lit(float(p)) * (F.col('__n') - 1) for p in probs]
+    reach = [F.min(F.when((F.col('__i') == i) & (F.col('__up') > edge(x)), F.col('__val'))).alias(f"{name}{i}")
+             for i, x in enumerate(pos) for name, edge in (('__a', F.floor), ('__b', F.ceil))]
+    found = ranked.groupBy(*keys).agg(F.max('__n').alias('__n'), *reach)
     out = []
-    cache = {}
-    for p in probs:
-        pos = p * (n - 1)
-        r0, r1 = math.floor(pos), math.ceil(pos)
-        for r in (r0, r1):
-            if r not in cache:
-                cache[r] = _value_at_rank(v, r, st['lo'], st['hi'], bins, max_distinct)
-        out.append(cache[r0] + (cache[r1] - cache[r0]) * (pos - r0))
-    return out
+    for i, x in enumerate(pos):
+        a, b = F.col(f"__a{i}"), F.col(f"__b{i}")
+        out.append(F.when(a == b, a).otherwise((F.ceil(x) - x) * a + (x - F.floor(x)) * b))
+    return found.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], F.col('__c').alias('column'),
+                        F.array(*out).alias('q'))
 
 
-def _value_at_rank(v: DataFrame, rank: int, lo: float, hi: float, bins: int, max_distinct: int):
-    """Value with 0-based rank `rank` among the values in [lo, hi]; `rank`
-    counts from `lo` (values below `lo` have already been discounted)."""
-    while True:
-        sub = v.filter((F.col('v') >= lo) & (F.col('v') <= hi))
-        distinct = sub.agg(F.approx_count_distinct('v', 0.05).alias('d')).first()['d']
-        if distinct <= max_distinct or lo == hi:
-            pairs = sub.groupBy('v').count().orderBy('v').collect()
-            seen = 0
-            for row in pairs:
-                seen += row['count']
-                if seen > rank:
-                    return row['v']
-            return pairs[-1]['v']
-        width = (hi - lo) / bins
-        b = F.least(F.floor((F.col('v') - lo) / width), F.lit(bins - 1)).cast('int')
-        counts = sorted((r['b'], r['n']) for r in sub.groupBy(b.alias('b'))
-                        .agg(F.count(F.lit(1)).alias('n')).collect())
-        seen = 0
-        for bi, cnt in counts:
-            if seen + cnt > rank:
-                rank -= seen
-                # bin numbers are monotone in v, so the bin is exactly the
-                # values between its own min and max
-                edge = sub.filter(b == bi).agg(F.min('v').alias('a'), F.max('v').alias('z')).first()
-                lo, hi = edge['a'], edge['z']
-                break
-            seen += cnt
+def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = ACCURACY) -> dict:
+    """{column: [quantile per prob]} over the non-missing values of each column (one
+    row a column is read); a column without values has None."""
+    cols, probs = list(cols), list(probs)
+    got = {r['column']: list(r['q']) for r in quantile_table(df, [], cols, probs, accuracy).collect()}
+    return {c: got.get(c, [None] * len(probs)) for c in cols}

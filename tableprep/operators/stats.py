@@ -3,7 +3,7 @@
 All statistics are Spark aggregates. Modes and counts go through `groupBy`
 (partial aggregation), never through a value→count map on one task. p-values
 (t and F distributions) are a separate, optional step on the small result
-(`with_p_values`), computed by an Arrow-batched pandas UDF.
+(`with_t_pvalue`, `with_f_pvalue`), computed by an Arrow-batched pandas UDF.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableprep.operators.quantile import exact_quantiles, join_fitted, quantile_table
+
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
@@ -28,8 +30,9 @@ def central(df: DataFrame, col: str) -> DataFrame:
     # the mode is one aggregate row over the (value, count) table: read it as a fit
     m = counts.agg(F.min_by('v', F.struct(-F.col('n'), F.col('v'))).alias('mode'),
                    F.max('n').alias('mode_rows')).first()
+    median = exact_quantiles(v, ['v'], [0.5])['v'][0]
     base = v.agg(F.count(F.lit(1)).alias('count'), F.avg('v').alias('mean'),
-                 F.percentile('v', 0.5).alias('median'), F.stddev_samp('v').alias('std'),
+                 F.lit(median).cast('double').alias('median'), F.stddev_samp('v').alias('std'),
                  F.min('v').cast('double').alias('min'), F.max('v').cast('double').alias('max'))
     return base.withColumns({'mode': F.lit(m['mode']).cast('double'),
                              'mode_rows': F.lit(m['mode_rows']).cast('long')})
@@ -57,11 +60,12 @@ def skew_compare(df: DataFrame, col: str) -> DataFrame:
 
 def grouped_summary(df: DataFrame, by: str, col: str) -> DataFrame:
     """K4: per group count, mean, median, IQR, min, max, std; by median desc."""
-    q = F.percentile(_q(col), [0.25, 0.5, 0.75])
-    g = df.filter(_q(col).isNotNull()).groupBy(_q(by).alias(by)).agg(
-        F.count(F.lit(1)).alias('count'), F.avg(_q(col)).alias('mean'), q.alias('q'),
+    rows = df.filter(_q(col).isNotNull())
+    g = rows.groupBy(_q(by).alias(by)).agg(
+        F.count(F.lit(1)).alias('count'), F.avg(_q(col)).alias('mean'),
         F.min(_q(col)).cast('double').alias('min'), F.max(_q(col)).cast('double').alias('max'),
         F.stddev_samp(_q(col)).alias('std'))
+    g = join_fitted(g, quantile_table(rows, [by], [col], [0.25, 0.5, 0.75]).select(by, 'q'), [by])
     return g.select(by, 'count', 'mean', F.col('q')[1].alias('median'),
                     (F.col('q')[2] - F.col('q')[0]).alias('iqr'), 'min', 'max', 'std') \
         .orderBy(F.desc('median'), by)
@@ -121,10 +125,10 @@ def kde(df: DataFrame, col: str, grid: int = 200) -> DataFrame:
 
 def box_stats(df: DataFrame, by: str, col: str, k: float = 1.5) -> DataFrame:
     """K8: per group quartiles, whiskers (last value inside the fences) and outlier count."""
-    rows = df.filter(_q(col).isNotNull()).select(_q(by).alias(by), _q(col).cast('double').alias('v'))
-    q = rows.groupBy(by).agg(F.percentile('v', [0.25, 0.5, 0.75]).alias('q')).select(
+    rows = df.filter(_q(col).isNotNull() & _q(by).isNotNull()).select(_q(by).alias(by), _q(col).cast('double').alias('v'))
+    q = quantile_table(rows, [by], ['v'], [0.25, 0.5, 0.75]).select(
         by, F.col('q')[0].alias('q1'), F.col('q')[1].alias('median'), F.col('q')[2].alias('q3'))
-    j = rows.join(q, by, 'inner')
+    j = join_fitted(rows, q, [by])
     iqr = F.col('q3') - F.col('q1')
     lo, hi = F.col('q1') - k * iqr, F.col('q3') + k * iqr
     inside = (F.col('v') >= lo) & (F.col('v') <= hi)
@@ -207,9 +211,10 @@ def bucket_median(df: DataFrame, col: str, edges, label: str) -> DataFrame:
         cond = (_q(col) >= a) & (_q(col) < b)
         pos = F.when(cond, F.lit(i)) if pos is None else pos.when(cond, F.lit(i))
     pos = pos.when(_q(col) >= edges[-1], F.lit(len(edges) - 1))
-    g = df.filter(_q(label).isNotNull()).groupBy(pos.alias('pos'), bucket_expr(col, edges).alias('bucket')) \
-        .agg(F.count(F.lit(1)).alias('count'), F.percentile(_q(label), 0.5).alias('median')) \
-        .filter('pos IS NOT NULL')
+    rows = df.select(pos.alias('pos'), bucket_expr(col, edges).alias('bucket'), _q(label).alias('label')) \
+        .filter('label IS NOT NULL AND pos IS NOT NULL')
+    medians = quantile_table(rows, ['pos'], ['label'], [0.5]).select('pos', F.col('q')[0].alias('median'))
+    g = join_fitted(rows.groupBy('pos', 'bucket').agg(F.count(F.lit(1)).alias('count')), medians, ['pos'])
     # the bucket table has len(edges) rows: the comparison runs on that tiny result
     prev = g.select((F.col('pos') + 1).alias('pos'), F.col('median').alias('prev_median'))
     return g.join(prev, 'pos', 'left').select(

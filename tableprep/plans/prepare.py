@@ -27,6 +27,7 @@ from tableprep import config as C
 from tableprep.config import PrepareConfig
 from tableprep.functions import text as X
 from tableprep.operators import clean, dedup, encode, extract, features, impute, outliers, profile, split
+from tableprep.operators.quantile import exact_quantiles
 from tableprep.session import materialize
 
 CONVERSION_RULES = {
@@ -108,18 +109,12 @@ def until_split(raw: DataFrame, cfg: PrepareConfig = PrepareConfig()):
 def outlier_rules(df: DataFrame, cfg: PrepareConfig, corrections: DataFrame = None):
     """F7, F8, C8, C6 on the split table. Returns (df, logs, params).
 
-    One fit job over the training rows gives both the size z-parameters and
-    the price median (price is not touched by F7/F8, so fitting before them is
-    the same as after)."""
+    The size z-parameters and the price median are fitted on the training rows
+    (price is not touched by F7/F8, so fitting before them is the same as after)."""
     c = cfg.cols
     train = df.filter("split = 'train'")
-    if cfg.quantile_method == 'exact':
-        r = train.agg(F.avg(c.size).alias('m'), F.stddev_samp(c.size).alias('s'),
-                      F.percentile(c.price, 0.5).alias('med')).first()
-    else:
-        m = train.agg(F.avg(c.size).alias('m'), F.stddev_samp(c.size).alias('s')).first()
-        med = impute.fit_median(train, {c.price: None}, method=cfg.quantile_method).medians[c.price]
-        r = {'m': m['m'], 's': m['s'], 'med': med}
+    m = train.agg(F.avg(c.size).alias('m'), F.stddev_samp(c.size).alias('s')).first()
+    r = {'m': m['m'], 's': m['s'], 'med': exact_quantiles(train, [c.price], [0.5])[c.price][0]}
     zp_train = outliers.ZParams({c.size: r['m']}, {c.size: r['s']})
     zp = zp_train if cfg.fit_scope == 'train' else None
     df, size_log = outliers.resolve_size_outliers(df, c.size, c.text, c.key, 'split', cfg.z, zp)
@@ -203,7 +198,7 @@ def prepare(raw: DataFrame, cfg: PrepareConfig = PrepareConfig(), corrections: D
     eda = eda.withColumn(c.price, F.bround(F.col(c.price), 0).cast('long'))
     df, drop_report = clean.drop_columns(df, {'no_engineering': DROP_NO_ENGINEERING,
                                               'replaced': DROP_REPLACED})
-    mp = impute.fit_median(df.filter("split = 'train'"), IMPUTE_SPEC, method=cfg.quantile_method)
+    mp = impute.fit_median(df.filter("split = 'train'"), IMPUTE_SPEC)
     df = impute.apply_median(df, mp)
     if strict:
         profile.assert_no_missing(df)

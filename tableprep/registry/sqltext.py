@@ -116,9 +116,8 @@ def completeness(cols) -> str:
 
 
 def row_order(cols) -> str:
-    """Same merge priority as the library: (127 − completeness)·2^56 + 56 md5 bits."""
-    return (f"CAST(127 - ({completeness(cols)}) AS BIGINT) * 72057594037927936 + "
-            f"('0x' || substr({fingerprint(cols)}, 1, 14))::BIGINT")
+    """Merge priority as sortable text: missing cells with leading zeros, then the md5 fingerprint."""
+    return f"printf('%06d', {len(cols)} - ({completeness(cols)})) || {fingerprint(cols)}"
 
 
 def split_case(key: str = 'ad_id', seed: int = C.SPLIT_SEED) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tableprep import config as C
 from tableprep.functions import text as X
 from tableprep.operators import clean, dedup, encode, extract, features, impute, outliers, profile, split, stats
-from tableprep.operators.quantile import exact_quantiles
+from tableprep.operators.quantile import exact_quantiles, quantile_table
 
 
 def test_merge_by_key_golden(spark):
@@ -185,15 +185,28 @@ def test_split_is_partition_independent_and_grouped_never_tears(spark):
     assert g.groupBy("g").agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
 
 
-def test_distributed_quantiles_match_exact(spark):
-    import random
-    random.seed(3)
-    vals = [(random.gauss(0, 1) * 1000,) for _ in range(3000)] + [(5.0,)] * 1000
-    df = spark.createDataFrame(vals, "v double")
-    ex = exact_quantiles(df, ["v"], [0.01, 0.25, 0.5, 0.9])["v"]
-    dist = exact_quantiles(df, ["v"], [0.01, 0.25, 0.5, 0.9], method="distributed", bins=16,
-                           max_distinct=50)["v"]
-    assert dist == pytest.approx(ex, rel=1e-12, abs=1e-9)
+@pytest.mark.parametrize("accuracy", [100_000, 50])
+@pytest.mark.parametrize("shape", ["distinct", "heavy", "two", "one", "few", "wide"])
+def test_quantiles_equal_sparks_percentile(spark, shape, accuracy):
+    """The fit keeps no map of values, even where all 60,000 are distinct and the sketch is coarse."""
+    x = {"distinct": F.expr("id * 7919 % 60013 / 3.0"), "heavy": F.expr("if(id % 3 = 0, 5.0, id * 31 % 1009)"),
+         "two": F.expr("if(id % 2 = 0, 1.0, 2.0)"), "one": F.lit(4.0), "few": F.expr("if(id < 3, id * id * 1.0, null)"),
+         "wide": F.expr("if(id % 5000 = 0, -1e300, id * id * 1.0)")}[shape]
+    df = spark.range(60_000, numPartitions=5).select(x.cast("double").alias("v"), F.expr("if(id % 3 = 0, null, id % 2)").alias("g"), F.lit(None).cast("double").alias("none"))
+    probs = [0.0, 0.01, 0.25, 1 / 3, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, ["v", "none"], probs, accuracy)
+    assert got["none"] == [None] * len(probs)
+    assert got["v"] == list(df.agg(F.percentile("v", probs)).first()[0])
+    table = quantile_table(df, ["g"], ["v"], probs, accuracy)
+    assert "percentile(" not in table._jdf.queryExecution().optimizedPlan().toString()
+    want = {r["g"]: list(r["q"]) for r in df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect() if r["q"]}
+    assert {r["g"]: list(r["q"]) for r in table.collect()} == want
+
+
+def test_quantiles_of_more_groups_than_are_broadcast(spark):
+    df = spark.range(6_000).select((F.col("id") % 1500).alias("g"), F.col("id").cast("double").alias("v"))
+    got = {r["g"]: list(r["q"]) for r in quantile_table(df, ["g"], ["v"], [0.25, 0.5]).collect()}
+    assert got == {g: [g + 1125.0, g + 2250.0] for g in range(1500)}
 
 
 def test_histogram_and_kde(spark):

@@ -59,12 +59,3 @@ def test_every_registered_query_runs_small(spark):
     assert set(oracles) <= set(qs)
     for name in ["b4_missing_by_column", "d5_merge_by_key", "f7_resolve_size_outliers", "k6_histogram"]:
         assert qs[name](spark, SF_SMALL).count() >= 0
-
-
-def test_distributed_quantile_method_gives_same_job_result(spark):
-    from tableprep.config import PrepareConfig
-    raw = fixtures.listings(spark, SF_SMALL)
-    a = PP.prepare(raw, checkpoint=False)
-    b = PP.prepare(raw, PrepareConfig(quantile_method='distributed'), checkpoint=False)
-    assert a.params['medians'] == b.params['medians']
-    assert a.params['parking_price_threshold'] == b.params['parking_price_threshold']
