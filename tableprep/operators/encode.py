@@ -1,9 +1,10 @@
 """Categorical encoding.
 
 Fixed maps are `when` chains without `otherwise` (unmatched and missing stay
-missing). Fitted encoders collect only the category list from the training
-rows — bounded by `max_categories`, checked before it is used — and apply it as
-literal expressions in one projection.
+missing). The rare merge joins rows to a fitted table of any size. Encoders that
+make a column per category read the category list from the training rows (a table
+has no room for more than `max_categories` columns; a longer list raises) and apply
+it as literal expressions in one projection.
 """
 
 from __future__ import annotations
@@ -55,6 +56,20 @@ def safe_name(prefix: str, value: str) -> str:
     return f"{prefix}_{value}".replace(' ', '_')
 
 
+def column_names(prefix: str, values, taken=()) -> list[str]:
+    """A name of its own for each value, in their order: safe_name(), and where that
+    is gone (names are compared without case, as Spark does) with the least free
+    number from 2. `taken` are other columns' names."""
+    used, out = {t.lower() for t in taken}, []
+    for v in values:
+        name, k = safe_name(prefix, v), 2
+        while name.lower() in used:
+            name, k = f"{safe_name(prefix, v)}_{k}", k + 1
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def _collect_categories(values: DataFrame, what: str, limit: int):
     rows = values.limit(limit + 1).collect()
     if len(rows) > limit:
@@ -69,9 +84,10 @@ def _collect_categories(values: DataFrame, what: str, limit: int):
 class MultiHotParams:
     vocabulary: tuple
     prefix: str = 'Has'
+    taken: tuple = ()      # names that other columns have
 
     def columns(self):
-        return [safe_name(self.prefix, v) for v in self.vocabulary]
+        return column_names(self.prefix, self.vocabulary, self.taken)
 
 
 def fit_multi_hot(train: DataFrame, list_col: Column, prefix: str = 'Has',
@@ -84,8 +100,8 @@ def fit_multi_hot(train: DataFrame, list_col: Column, prefix: str = 'Has',
 def apply_multi_hot(df: DataFrame, list_col: Column, p: MultiHotParams) -> DataFrame:
     lst = F.col('__items')
     out = df.withColumn('__items', list_col)
-    return out.withColumns({safe_name(p.prefix, v): F.array_contains(lst, v).cast('int')
-                            for v in p.vocabulary}).drop('__items')
+    return out.withColumns({n: F.array_contains(lst, v).cast('int')
+                            for n, v in zip(p.columns(), p.vocabulary)}).drop('__items')
 
 
 def unseen_items(df: DataFrame, list_col: Column, p: MultiHotParams) -> DataFrame:
@@ -97,6 +113,19 @@ def unseen_items(df: DataFrame, list_col: Column, p: MultiHotParams) -> DataFram
 
 # --- I6 rare merge ----------------------------------------------------------------
 
+def rare_table(train: DataFrame, col: str, min_count: int) -> DataFrame:
+    """I6 fit: table of the categories (non-missing) with fewer than `min_count` training rows."""
+    return train.filter(_q(col).isNotNull()).groupBy(_q(col).alias('rare')).agg(F.count(F.lit(1)).alias('n')) \
+        .filter(F.col('n') < min_count).select('rare')
+
+
+def merge_rare(df: DataFrame, rare: DataFrame, col: str, other: str = 'Other') -> DataFrame:
+    """Categories of rare_table() become `other`, by a join, so there may be any number."""
+    r = rare.select(F.col('rare').alias('__rare'))
+    return df.join(r, _q(col) == F.col('__rare'), 'left') \
+        .withColumn(col, F.when(F.col('__rare').isNotNull(), F.lit(other)).otherwise(_q(col))).drop('__rare')
+
+
 @dataclass(frozen=True)
 class RareParams:
     column: str
@@ -106,9 +135,8 @@ class RareParams:
 
 def fit_rare(train: DataFrame, col: str, min_count: int, other: str = 'Other',
              max_categories: int = MAX_CATEGORIES) -> RareParams:
-    """Categories (non-missing) with fewer than `min_count` training rows."""
-    counts = train.filter(_q(col).isNotNull()).groupBy(_q(col).alias('v')).count() \
-        .filter(F.col('count') < min_count).select('v')
+    """rare_table() as parameters, for rows that are encoded with one column per category."""
+    counts = rare_table(train, col, min_count)
     return RareParams(col, tuple(_collect_categories(counts, 'rare_merge', max_categories)), other)
 
 
@@ -128,7 +156,7 @@ class OneHotParams:
     prefix: str
 
     def columns(self):
-        return [safe_name(self.prefix, v) for v in self.categories[1:]]
+        return column_names(self.prefix, self.categories[1:])
 
 
 def fit_one_hot(train: DataFrame, col: str, prefix: str,
@@ -140,8 +168,8 @@ def fit_one_hot(train: DataFrame, col: str, prefix: str,
 def apply_one_hot(df: DataFrame, p: OneHotParams) -> DataFrame:
     """Drop-first one-hot; values unseen in training give all zeros."""
     c = _q(p.column)
-    return df.withColumns({safe_name(p.prefix, v): F.coalesce(c == v, F.lit(False)).cast('int')
-                           for v in p.categories[1:]})
+    return df.withColumns({n: F.coalesce(c == v, F.lit(False)).cast('int')
+                           for n, v in zip(p.columns(), p.categories[1:])})
 
 
 # --- I6 + I7 fitted together ----------------------------------------------------------

@@ -163,10 +163,8 @@ def encode_fit_apply(df: DataFrame, cfg: PrepareConfig):
     c = cfg.cols
     train = df.filter("split = 'train'")
     mh = encode.fit_multi_hot(train, facility_items(cfg))
-    taken = {f"Has_{n}".lower() for n in c.nearby}
-    clash = [v for v in mh.columns() if v.lower() in taken]
-    if clash:
-        mh = encode.MultiHotParams(mh.vocabulary, 'Has_Facility')
+    # an item that shares its name with a presence flag gets a name of its own; the others keep theirs
+    mh = encode.MultiHotParams(mh.vocabulary, mh.prefix, tuple(f"Has_{n}" for n in c.nearby))
     out = encode.apply_multi_hot(df, facility_items(cfg), mh)
     unseen = encode.unseen_items(out.filter("split = 'test'"), facility_items(cfg), mh)
     eda = out.filter("split = 'train'").drop(*EDA_DROP, 'log_price', 'split')

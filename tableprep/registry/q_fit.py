@@ -271,8 +271,8 @@ _STATE_RARE = ("st AS (SELECT ad_id, split, coalesce(state, 'Unknown') AS state
 def i6(spark, sf):
     from tableprep.operators import clean
     df = clean.fill_constant(stage(spark, sf, 'feat'), {'state': 'Unknown'})
-    p = encode.fit_rare(_train(df), 'state', C.RARE_STATE_THRESHOLD)
-    return encode.apply_rare(df, p).select('ad_id', 'state')
+    rare = encode.rare_table(_train(df), 'state', C.RARE_STATE_THRESHOLD)
+    return encode.merge_rare(df, rare, 'state').select('ad_id', 'state')
 
 
 _TYPE_RARE = (f"rt AS (SELECT property_type FROM feat WHERE split = 'train' GROUP BY 1 "

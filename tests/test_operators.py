@@ -265,3 +265,20 @@ def test_key_conflicts_never_collects_a_group(spark):
     plan = dedup.key_conflicts(df, "k")._jdf.queryExecution().executedPlan().toString()
     assert "collect_set" not in plan and "collect_list" not in plan
     assert dedup.key_conflicts(df, "k").count() == 200
+
+
+def test_categories_with_one_safe_name_keep_a_column_each(spark):
+    df = spark.createDataFrame([(["A B", "A_B"],), (["A_B"],), (["a b", "Gym"],)], "items array<string>")
+    p = encode.MultiHotParams(encode.fit_multi_hot(df, F.col("items")).vocabulary, taken=("has_gym",))
+    assert dict(zip(p.vocabulary, p.columns())) == {"A B": "Has_A_B", "A_B": "Has_A_B_2", "Gym": "Has_Gym_2", "a b": "Has_a_b_3"}
+    out = encode.apply_multi_hot(df, F.col("items"), p).agg(*[F.sum(c).alias(c) for c in p.columns()]).first()
+    assert out.asDict() == {"Has_A_B": 1, "Has_A_B_2": 2, "Has_Gym_2": 1, "Has_a_b_3": 1}
+    one = encode.fit_one_hot(spark.createDataFrame([("0",), ("x y",), ("x_y",)], "v string"), "v", "V")
+    assert one.columns() == ["V_x_y", "V_x_y_2"]
+
+
+def test_rare_merge_has_no_cap_on_categories(spark):
+    df = spark.range(5000).selectExpr("if(id < 2000, 'big', cast(id as string)) AS s").unionByName(
+        spark.createDataFrame([(None,)], "s string"))
+    out = encode.merge_rare(df, encode.rare_table(df, "s", 3), "s").groupBy("s").count().collect()
+    assert {r["s"]: r["count"] for r in out} == {"big": 2000, "Other": 3000, None: 1}
