@@ -253,11 +253,19 @@ def _rest(entries: DataFrame, near: DataFrame, roots: DataFrame, num: int, den:
     home = near.withColumn("d", 1 - F.col("o") / (F.col("n") + F.col("hn") - F.col("o")))
     by_home = (sides(rooted(home.drop("beside"), ["h"]), ["h"], ["o", "d"]).where(close & (F.least("a_o", "b_o") * (num + den) >= both * num))
                .select(F.col("a_cid").alias("x"), F.col("b_cid").alias("y")))
-    # by near hub and shingles beside the hub's
-    own = rooted(near.select("h", "cid", "n", "o", F.explode("beside").alias("s")), ["h", "s"])
-    by_own = (sides(own, ["h", "s"], ["o"], block=False).groupBy(F.col("a_cid").alias("x"), F.col("b_cid").alias("y"))
-              .agg(F.count(F.lit(1)).alias("c"), F.first(F.least("a_o", "b_o")).alias("o"), F.first(both).alias("n"))
-              .where((F.col("o") + F.col("c")) * (num + den) >= F.col("n") * num).select("x", "y"))
+    # by near hub and shingles beside the hub's: a class needs at least ``need`` of them in
+    # common with any partner, so one is among its first m - need + 1, rarest first
+    beside, ranks = Window.partitionBy("h", "s"), Window.partitionBy("cid")
+    need = F.greatest(F.ceil(F.col("n") * num / den) - F.col("o"), F.lit(1))
+    own = (rooted(near.select("h", "cid", "n", "o", F.explode("beside").alias("s")), ["h", "s"])
+           .withColumn("df", F.count(F.lit(1)).over(beside)).withColumn("m", F.count(F.lit(1)).over(ranks))
+           .withColumn("r", F.row_number().over(ranks.orderBy("df", "s"))).where(F.col("r") <= F.col("m") - need + 1))
+    met = (sides(own, ["h", "s"], ["o"], block=False)
+           .select(F.col("a_cid").alias("x"), F.col("b_cid").alias("y"), F.least("a_o", "b_o").alias("o"), both.alias("n")).distinct())
+    sets = near.select("cid", "beside")
+    met = (met.join(sets.select(F.col("cid").alias("x"), F.col("beside").alias("sx")), "x")
+           .join(sets.select(F.col("cid").alias("y"), F.col("beside").alias("sy")), "y"))
+    by_own = met.where((F.col("o") + F.size(F.array_intersect("sx", "sy"))) * (num + den) >= F.col("n") * num).select("x", "y")
     return by_list.unionByName(by_home).unionByName(by_own).distinct()
 
 
