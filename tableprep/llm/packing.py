@@ -1,8 +1,7 @@
 """Packing documents into sequences by cutting-stock column generation (operator 9).
 
-A document's ids are cut into full sequences and a rest. The rests' lengths, rounded
-up to a multiple of ``STEP``, are a histogram of bounded size; a linear program over
-patterns (how many rests of each length share a sequence) is solved by the simplex
+A document's ids are cut into full sequences and a rest. The rests' true lengths are
+a histogram of bounded size; a linear program over patterns (how many rests of each length share a sequence) is solved by the simplex
 method, with columns priced by knapsack dynamic programming. Rounded-down patterns,
 and first-fit patterns for the few rests that rounding leaves, are given to the
 rests by their rank within their length.
@@ -17,58 +16,131 @@ from pyspark.sql import functions as F
 
 from tableprep.llm.common import Encoder, slices, stage, with_rank
 
-LENGTH, STEP = 2048, 8
+LENGTH = 2048
 
 
-def _price(value: np.ndarray, sizes: np.ndarray, room: int) -> np.ndarray:
-    """Unbounded knapsack over integer sizes: the counts with the largest value."""
+def _price(value: np.ndarray, sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack over integer sizes: for each room up to ``room`` the largest
+    value, and the item to take first (-1: leave one place free)."""
     best, item = np.zeros(room + 1), np.full(room + 1, -1)
+    use = np.flatnonzero(value > 1e-12)
+    own, worth = sizes[use], value[use]
+    ends = np.searchsorted(own, np.arange(room + 1), side="right")
     for c in range(1, room + 1):
-        best[c], item[c] = best[c - 1], -1
-        k = np.searchsorted(sizes, c, side="right")
+        best[c] = best[c - 1]
+        k = ends[c]
         if k:
-            v = best[c - sizes[:k]] + value[:k]
-            j = int(v.argmax())
+            v = best[c - own[:k]] + worth[:k]
+            j = v.argmax()
             if v[j] > best[c] + 1e-12:
-                best[c], item[c] = v[j], j
-    counts, c = np.zeros(len(sizes), np.int64), room
+                best[c], item[c] = v[j], use[j]
+    return best, item
+
+
+def _pattern(item: np.ndarray, sizes: np.ndarray, room: int, first: int) -> np.ndarray:
+    """The counts of the best knapsack that holds size ``first``."""
+    counts, c = np.zeros(len(sizes)), room - int(sizes[first])
+    counts[first] = 1
     while c > 0:
         if item[c] < 0:
             c -= 1
         else:
             counts[item[c]] += 1
-            c -= sizes[item[c]]
+            c -= int(sizes[item[c]])
     return counts
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, room: int, steps: int = 20_000, tolerance: float = 1e-7) -> list[tuple[np.ndarray, float]]:
+def _first_fit(sizes: np.ndarray, left: np.ndarray, room: int):
+    """(pattern, times) that hold ``left``, largest rests first: each pattern is as full
+    as the rests still left allow, and is taken until one of its sizes is used up."""
+    left = left.copy()
+    open_ = [int(i) for i in np.flatnonzero(left)[::-1]]
+    while open_:
+        pattern, free = {}, room
+        for i in open_:
+            if free < sizes[open_[-1]]:
+                break
+            if k := min(int(left[i]), free // int(sizes[i])):
+                pattern[i], free = k, free - k * int(sizes[i])
+        n = min(int(left[i]) // k for i, k in pattern.items())
+        for i, k in pattern.items():
+            left[i] -= n * k
+        yield pattern, n
+        open_ = [i for i in open_ if left[i]]
+
+
+def _shares(sizes: np.ndarray, demand: np.ndarray, room: int) -> np.ndarray:
+    """Values that sum to at most 1 in any pattern, with the largest sum over ``demand``:
+    sizes below some k count nothing, those that leave less than k count 1 and others
+    their share of ``room``; or those above the half count 1 and the half itself 0.5."""
+    halves = np.where(2 * sizes > room, 1.0, np.where(2 * sizes == room, 0.5, 0.0))
+    each = (np.where(sizes > room - k, 1.0, np.where(sizes < k, 0.0, sizes / room)) for k in range(room // 2 + 1))
+    return max([halves, *each], key=lambda v: float(v @ demand))
+
+
+def solve(sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 1e-7, gap: float = 1e-4, columns: int = 64) -> list[tuple[np.ndarray, float]]:
     """Column generation for: least number of patterns that cover ``demand``. The basis
-    starts with one pattern per size (as many of it as fit); its inverse is updated
-    at each pivot and worked out anew every 200. Returns (pattern, times) of the
-    optimal basis."""
+    starts with one pattern per size (as many of it as fit), then takes first-fit
+    patterns that are worth more than 1. Each knapsack, whose values lean towards the
+    best lower bound's (first that of _shares()), gives up to ``columns``
+    patterns; the inverse is updated at each pivot and worked out anew every 500. It
+    ends when no pattern is worth more than 1, or when the value is within ``gap`` of a
+    proven lower bound, or within half a sequence of the whole number that the ids fill. Returns (pattern, times) of the basis."""
     m = len(sizes)
     basis = np.diag((room // sizes).astype(float))
     inverse = np.diag(1 / (room // sizes))
-    x = demand / (room // sizes)
-    for step in range(1, steps + 1):
-        dual = inverse.sum(0)
-        a = _price(dual, sizes, room).astype(float)
-        if dual @ a <= 1 + tolerance:
-            break
-        d = inverse @ a
-        ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
-        r = int(ratio.argmin())
+    # a little more of each size, in uneven steps, so that pivots don't tie and go round
+    uneven = demand + 0.1 * (1 + np.arange(m) * 0.6180339887 % 1)
+    x = uneven / (room // sizes)
+    dual, pivots = inverse.sum(0), 0
+
+    def enter(has: np.ndarray, counts: np.ndarray) -> bool:
+        nonlocal inverse, x, dual, pivots
+        gain = dual[has] @ counts
+        if gain <= 1 + tolerance:
+            return False
+        d = inverse[:, has] @ counts
+        ok = d > 1e-9 * max(1.0, float(np.abs(d).max()))
+        ratio = np.where(ok, x / np.where(ok, d, 1), np.inf)
+        r = int(np.where(ratio <= ratio.min() * (1 + 1e-9) + 1e-12, d, -np.inf).argmax())
         theta = ratio[r]
-        x = x - theta * d
+        x = np.maximum(x - theta * d, 0)
         x[r] = theta
-        basis[:, r] = a
-        if step % 200 == 0:
+        basis[:, r] = 0
+        basis[has, r] = counts
+        pivots += 1
+        if pivots % 500 == 0:
             inverse = np.linalg.inv(basis)
-            x = np.maximum(inverse @ demand, 0)
+            x = np.maximum(inverse @ uneven, 0)
+            dual = inverse.sum(0)
         else:
             row = inverse[r] / d[r]
-            inverse = inverse - np.outer(d, row)
+            at, to = np.flatnonzero(np.abs(d) > 1e-14), np.flatnonzero(row)
+            inverse[np.ix_(at, to)] -= np.outer(d[at], row[to])
             inverse[r] = row
+            dual = dual - (gain - 1) * row
+        return True
+
+    for pattern, _ in _first_fit(sizes, demand.astype(np.int64), room):
+        enter(np.array(list(pattern)), np.array(list(pattern.values()), float))
+    enough, even, lean = np.ceil(float(sizes @ demand) / room - 1e-9), _shares(sizes, demand, room), 0.5
+    bound = float(even @ demand)
+    while (dual := inverse.sum(0)) @ demand > max(enough + max(gap * enough, 0.5), bound * (1 + gap)):
+        value = lean * even + (1 - lean) * dual
+        best, item = _price(value, sizes, room)
+        gains = value + best[room - sizes]
+        if (proven := value @ demand / max(best[room], 1)) > bound:
+            bound, even = proven, value / max(best[room], 1)
+        moved = False
+        for first in np.argsort(-gains, kind="stable")[:columns]:
+            a = _pattern(item, sizes, room, first)
+            has = np.flatnonzero(a)
+            moved |= enter(has, a[has])
+        if not moved:
+            if not lean:
+                break
+            lean = lean / 2 if lean > 0.1 else 0.0
+    x = inverse @ demand
     return [(basis[:, j].astype(np.int64), float(x[j])) for j in range(m) if x[j] > 1e-9]
 
 
@@ -81,21 +153,13 @@ def plan(demand: dict[int, int], room: int) -> list[tuple[dict[int, int], int]]:
     left = np.array([demand[int(s)] for s in sizes], np.int64)
     out = []
     for pattern, times in sorted(solve(sizes, left.astype(float), room), key=lambda p: (-p[1], p[0].tolist())):
-        whole = int(np.floor(times + 1e-6))
-        fits = min((int(left[i] // pattern[i]) for i in np.flatnonzero(pattern)), default=0)
-        if n := min(whole, fits):
-            out.append((pattern, n))
-            left = left - n * pattern
-    # what rounding leaves: patterns of the largest rest that is left and the best knapsack of others
-    while left.any():
-        pattern, free = np.zeros(len(sizes), np.int64), room
-        for i in range(len(sizes) - 1, -1, -1):
-            k = min(int(left[i]), free // int(sizes[i]))
-            pattern[i], free = k, free - k * int(sizes[i])
-        n = min(int(left[i] // pattern[i]) for i in np.flatnonzero(pattern))
-        out.append((pattern, n))
-        left = left - n * pattern
-    return [({int(sizes[i]): int(p[i]) for i in np.flatnonzero(p)}, n) for p, n in out]
+        has = np.flatnonzero(pattern)
+        if n := min(int(np.floor(times + 1e-6)), int((left[has] // pattern[has]).min())):
+            out.append(({int(sizes[i]): int(pattern[i]) for i in has}, n))
+            left[has] -= n * pattern[has]
+    # what rounding leaves
+    out.extend(({int(sizes[i]): k for i, k in pattern.items()}, n) for pattern, n in _first_fit(sizes, left, room))
+    return out
 
 
 def id_width(tokenizer: str, end_id: int) -> int:
@@ -137,19 +201,17 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int =
     return rows.mapInArrow(run, "doc_id long, doc_key long, start long, length long, doc_tokens long, ids binary")
 
 
-def pack(pieces: DataFrame, length: int = LENGTH, step: int = STEP) -> DataFrame:
+def pack(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     """``pieces`` (written already, as by stage()) with sequence_id and offset. Full
-    pieces and rests whose rounded length is the whole sequence stand alone; sequence
+    pieces stand alone; sequence
     ids of the patterns' sequences are from 0, the others follow. Patterns are planned
-    on the driver from the histogram (length / step rows at most) and joined to the
+    on the driver from the histogram (length - 1 rows at most) and joined to the
     rests as a table whose size the histogram bounds as well."""
     spark = pieces.sparkSession
-    bits = F.ceil(F.col("length") / step).cast("int")
-    narrow = pieces.select("doc_key", "start", "length", bits.alias("__size"))
-    room = length // step
-    demand = {r["__size"]: r["n"] for r in narrow.where(F.col("__size") < room).groupBy("__size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    narrow = pieces.select("doc_key", "start", "length", F.col("length").cast("int").alias("__size"))
+    demand = {r["__size"]: r["n"] for r in narrow.where(F.col("__size") < length).groupBy("__size").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows, used, sequence = [], dict.fromkeys(demand, 0), 0
-    for pattern, times in plan(demand, room):
+    for pattern, times in plan(demand, length):
         slot = 0
         for size, count in pattern.items():
             rows.append((size, used[size], used[size] + count * times, count, sequence, slot))
@@ -157,7 +219,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, step: int = STEP) -> DataFrame
             slot += count
         sequence += times
     ranges = spark.createDataFrame(rows or [(-1, 0, 0, 1, 0, 0)], "__s int, __from long, __to long, __count int, __first long, __slot int")
-    alone = F.col("__size") == room
+    alone = F.col("__size") == length
     ranked = with_rank(narrow, ["__size"], [F.col("doc_key"), F.col("start")], F.struct("doc_key", "start"), "__rank")
     on = (F.col("__size") == F.col("__s")) & (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to"))
     placed = ranked.where(~alone).join(F.broadcast(ranges), on)
@@ -170,7 +232,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, step: int = STEP) -> DataFrame
     return pieces.join(shared.unionByName(single), ["doc_key", "start"])
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, step: int = STEP,
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset), a row per piece.
     Null texts are empty documents of the end id alone; rows that repeat an id are
@@ -178,5 +240,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = L
     unsigned 32-bit. Lengths need room for
     ``length`` ids in a sequence; a sequence may be left unpadded where it is full."""
     pieces = stage(tokenised_pieces(docs, tokenizer, end_id, length, id_col, text_col), "pack-pieces")
-    placed = pack(pieces, length, step).select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+    placed = pack(pieces, length).select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
     return widened(placed, id_width(tokenizer, end_id))

@@ -461,6 +461,13 @@ def test_packing(which, request):
         assert len(by) <= 1.03 * total / 2048 + 2
 
 
+def test_short_documents_are_packed_by_their_true_lengths(spark):
+    rows = [(i, None if i % 3 else " a" * (i % 20), "s") for i in range(9000)] + [(20_000 + i, " a" * (2039 + i % 8), "s") for i in range(16)]
+    out = packing.pack_documents(made(spark, rows), public_tokenizers.path("byte_bpe_50k.json"), 1)
+    ids, sequences = out.agg(F.sum("length"), F.countDistinct("sequence_id")).first()
+    assert sequences <= math.ceil(ids / 2048) + 1
+
+
 # --- 10 n-gram join -----------------------------------------------------------------
 
 def brute_groups(rows, n=4, num=85, den=100):
