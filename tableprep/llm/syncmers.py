@@ -3,8 +3,8 @@
 A k-mer is ``k`` neighbouring words; its inner substrings are runs of ``s`` words.
 It is chosen when its least inner hash stands at its first or last place. The choice
 looks at the k-mer alone, so a passage gives the same anchors wherever it stands,
-with their positions in words. A fingerprint is the ``m`` anchors with the least
-hashes, each as hash@position.
+with their positions in words. A fingerprint is all anchors in order of their hashes,
+each as hash@position.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, S, M = 5, 2, 64
+K, S = 5, 2
 
 
 def let(value: Column, body) -> Column:
@@ -20,9 +20,9 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def anchors(text: Column, k: int = K, s: int = S, m: int = M) -> Column:
-    """array<struct<h long, p int>>: the ``m`` least anchors by hash, each hash with its
-    first position. A text of 1 to k-1 words is one anchor (its whole run of words);
+def anchors(text: Column, k: int = K, s: int = S, m: int | None = None) -> Column:
+    """array<struct<h long, p int>>: the anchors by hash (with ``m`` the ``m`` least), each
+    hash with its first position. A text of 1 to k-1 words is one anchor (its whole run of words);
     one without words, or null, has none."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     inner = k - s + 1
@@ -47,7 +47,8 @@ def anchors(text: Column, k: int = K, s: int = S, m: int = M) -> Column:
 
     def least(found: Column) -> Column:
         # sorted by hash, then position; the first of equal hashes stays
-        return let(F.sort_array(found), lambda a: F.slice(F.filter(a, lambda x, i: (i == 0) | (F.get(a, i - 1)["h"] != x["h"])), 1, m))
+        kept = let(F.sort_array(found), lambda a: F.filter(a, lambda x, i: (i == 0) | (F.get(a, i - 1)["h"] != x["h"])))
+        return kept if m is None else F.slice(kept, 1, m)
 
     none = F.array().cast("array<struct<h:bigint,p:int>>")
     return F.coalesce(least(let(words, of_words)), none)
@@ -58,22 +59,25 @@ def fingerprint(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat(F.lpad(F.lower(F.hex(x["h"])), 16, "0"), F.lit("@"), x["p"].cast("string"))), ",")
 
 
-def likeness(a: Column, b: Column, m: int = M) -> Column:
-    """Estimated Jaccard likeness of two texts' anchors: of the ``m`` least hashes of
-    both together, the share that is in both. Two texts without anchors are alike
-    (1); one without and one with are not (0)."""
-    ha, hb = F.transform(a, lambda x: x["h"]), F.transform(b, lambda x: x["h"])
-    union = F.slice(F.sort_array(F.array_union(ha, hb)), 1, m)
-    both = F.size(F.array_intersect(F.array_intersect(ha, hb), union))
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.greatest(F.size(union), F.lit(1)))
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard likeness of two texts' anchors. Two texts without anchors are alike (1);
+    one without and one with are not (0)."""
+    both = F.size(F.array_intersect(F.transform(a, lambda x: x["h"]), F.transform(b, lambda x: x["h"])))
+    return let(both, lambda n: F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(n / F.greatest(F.size(a) + F.size(b) - n, F.lit(1))))
 
 
 def shift(a: Column, b: Column) -> Column:
     """Most common move in position of the anchors that both have (ties: the least),
-    null without any."""
-    moves = F.flatten(F.transform(a, lambda x: F.transform(F.filter(b, lambda y: y["h"] == x["h"]), lambda y: y["p"] - x["p"])))
-    counted = F.transform(F.array_distinct(moves), lambda d: F.struct((-F.size(F.filter(moves, lambda e: e == d))).alias("c"), d.alias("d")))
-    return F.array_min(counted)["d"]
+    null without any. Sorted together, an anchor of both stands beside itself."""
+    marked = lambda c, t: F.transform(c, lambda x: F.struct(x["h"].alias("h"), F.lit(t).alias("t"), x["p"].alias("p")))
+    beside = F.sort_array(F.concat(marked(a, 0), marked(b, 1)))
+    moves = let(beside, lambda z: F.array_compact(F.transform(z, lambda x, i: F.when(F.get(z, i + 1)["h"] == x["h"], F.get(z, i + 1)["p"] - x["p"]))))
+
+    def most(m: Column) -> Column:
+        firsts = F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: (i == 0) | (F.get(m, i - 1) != F.get(m, i)))
+        counted = let(firsts, lambda f: F.transform(f, lambda i, j: F.struct((i - F.coalesce(F.get(f, j + 1), F.size(m))).alias("c"), F.get(m, i).alias("d"))))
+        return F.when(F.size(m) > 0, F.array_min(counted)["d"])
+    return let(F.sort_array(moves), most)
 
 
 def with_next(df: DataFrame, id_col: str, cols: list[str], ranges: int) -> tuple[DataFrame, list, Column]:

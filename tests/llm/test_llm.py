@@ -383,6 +383,21 @@ def test_syncmers_hard_cases(spark, hard, empty):
     assert one["near_next"] == 1.0 and one["edited_sha256"] == hashlib.sha256(b"a b c a").hexdigest()
 
 
+def test_syncmers_keep_every_anchor_of_long_texts(spark):
+    far = [f"{c}{i}" for c in "ab" for i in range(3000)]
+    shared = [f"s{i}" for i in range(60)]
+    one, two = far[:2000] + shared + far[2000:3000], far[3000:4000] + shared + far[4000:]
+    cols = spark.createDataFrame([(" ".join(one), " ".join(two))], "x string, y string").select(
+        syncmers.anchors(F.col("x")).alias("a"), syncmers.anchors(F.col("y")).alias("b"))
+    r = cols.select("a", "b", syncmers.likeness(F.col("a"), F.col("b")).alias("like"), syncmers.shift(F.col("a"), F.col("b")).alias("move")).first()
+    a, b = ({v["h"]: v["p"] for v in r[c]} for c in "ab")
+    moves = collections.Counter(b[h] - p for h, p in a.items() if h in b)
+    assert len(a) > 1000 and 10 < len(a.keys() & b.keys()) and r["like"] == len(a.keys() & b.keys()) / len(a.keys() | b.keys())
+    assert r["move"] == -1000 == min(moves, key=lambda d: (-moves[d], d))
+    n = {v["doc_id"]: v for v in syncmers.fingerprints(made(spark, [(1, " ".join(one), "x"), (2, " ".join(two), "x")])).collect()}
+    assert n[1]["n_anchors"] == len(a) == len(n[1]["fingerprint"].split(","))
+
+
 # --- 8 toxicity ---------------------------------------------------------------------
 
 def test_toxicity(spark):
