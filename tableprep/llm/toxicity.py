@@ -1,7 +1,7 @@
 """Toxicity by a classifier chain (operator 8).
 
-The categories are 'toxic in language L' for each language that has enough toxic
-rows among the training rows, and 'toxic' itself, last. They are predicted one
+The categories are 'toxic in language L' for each language that has a toxic document
+among all labelled ones, and 'toxic' itself, last. They are predicted one
 after another by linear models over words and word stems; a later model also sees the earlier
 categories' probabilities, which for its training come from models that did not see
 the row (out-of-fold). Language and label are read for training only.
@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableprep.llm.common import slices, stage
+from tableprep.llm.common import slices, stage, with_rank
 
-#: Bounds of the training sample (least hashes of ids), the vocabulary, the folds, and
-#: the toxic rows a language needs for a category of its own.
-TOXIC_ROWS, CLEAN_ROWS, WORDS, FOLDS, LEAST_ROWS = 2500, 5000, 512, 3, 60
+#: Bounds of the training sample (toxic rows by turns of the languages, clean ones by
+#: least hashes of ids), the vocabulary, and the folds.
+TOXIC_ROWS, CLEAN_ROWS, WORDS, FOLDS = 2500, 5000, 512, 3
 
 _WORD = re.compile(r"\w+")
 STEMS = (4, 5, 6, 7)
@@ -107,7 +107,10 @@ def _word_sets(rows: DataFrame, keep: list[str]) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         label_col: str = "toxic", toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS, words: int = WORDS) -> Chain:
     """Trains on at most ``toxic_rows`` and ``clean_rows`` labelled documents, weighted
-    back to the labels' shares; an id labelled twice is toxic if any label is. The
+    back to the labels' shares (toxic ones by language); an id labelled twice is toxic if
+    any label is, and the least of an id's rows by language and text stands for it. The
+    categories come from a count over all labels. The toxic rows are taken in turns, one
+    of each language (one row of each at least, if that is more than ``toxic_rows``). The
     vocabulary is the ``words`` words with the largest chi-square for toxic, with at
     least 5 documents; counts are Spark aggregates over the sample. Without labelled
     documents of both kinds the chain rejects nothing."""
@@ -115,16 +118,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
            .groupBy("id").agg(F.max("y").cast("int").alias("y")))
     lab = lab.join(docs.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
     lab = stage(lab, "tox-labels")
-    totals = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
+    clean = lab.where("y = 0")
+    toxic = docs.select(F.col(id_col).alias("id"), lang.alias("lang")).join(lab.where("y = 1"), "id").groupBy("id").agg(F.min("lang").alias("lang"))
+    toxic = stage(toxic, "tox-toxic")
+    totals = {r["lang"]: r["n"] for r in toxic.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    own = sorted(totals)
     order = [F.xxhash64("id"), F.col("id")]
-    chosen = lab.where("y = 1").orderBy(*order).limit(toxic_rows).unionByName(lab.where("y = 0").orderBy(*order).limit(clean_rows)).collect()
+    turns = with_rank(toxic, ["lang"], order, F.col("id"), "turn").orderBy("turn", *order).limit(max(toxic_rows, len(own)))
+    chosen = turns.select("id", F.lit(1).alias("y")).unionByName(clean.orderBy(*order).limit(clean_rows)).collect()
     if not any(r["y"] for r in chosen) or all(r["y"] for r in chosen):
-        return Chain([], ["toxic"], [np.zeros(0)], [-10.0])
+        return Chain([], [*[f"toxic_{v}" for v in own], "toxic"], [np.zeros(j) for j in range(len(own) + 1)], [-10.0] * (len(own) + 1))
     spark = docs.sparkSession
     sample = spark.createDataFrame([(r["id"], r["y"]) for r in chosen], "id long, y int")  # bounded as above
-    lang = F.coalesce(F.col(lang_col), F.lit("")) if lang_col in docs.columns else F.lit("")
     rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), lang.alias("lang"))
-            .join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min(F.struct("text", "lang")).alias("t"))
+            .join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min(F.struct("lang", "text")).alias("t"))
             .select("id", "y", F.col("t.lang").alias("lang"), F.col("t.text").alias("text")))
     sets = stage(_word_sets(rows, ["id", "y", "lang"]), "tox-words")
     n1, n0 = sum(r["y"] for r in chosen), sum(1 - r["y"] for r in chosen)
@@ -140,9 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         x[r, h["at"]] = 1
     y = np.array([h["y"] for h in hits])
     langs = [h["lang"] for h in hits]
-    own = sorted(v for v in set(langs) if sum(1 for a, t in zip(langs, y, strict=True) if t and a == v) >= LEAST_ROWS)
     ys = np.stack([*[y * np.array([a == v for a in langs]) for v in own], y], 1)
-    weight = np.where(y == 1, totals.get(1, 0) / n1, totals.get(0, 0) / n0)
+    taken = {v: sum(1 for a, t in zip(langs, y, strict=True) if t and a == v) for v in own}
+    of_clean = clean.count() / n0
+    weight = np.array([totals[a] / taken[a] if t else of_clean for a, t in zip(langs, y, strict=True)])
     weight *= len(y) / weight.sum()
     fold = np.array([int.from_bytes(str(h["id"]).encode(), "little") % 1_000_003 % FOLDS for h in hits])
     return fit_chain(x, ys, weight, fold, vocabulary, [*[f"toxic_{v}" for v in own], "toxic"])

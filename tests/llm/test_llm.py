@@ -431,6 +431,24 @@ def test_toxicity_hard_cases(spark, hard, empty):
     assert toxicity.score(empty, none).count() == 0 and toxicity.keep_clean(hard, none).count() == len(HARD)
 
 
+def test_every_language_with_a_toxic_row_is_a_category(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, lab = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    chain = toxicity.fit(docs, lab)
+    langs = [r["lang"] for r in docs.join(lab.where("toxic = 1"), "doc_id", "left_semi").select("lang").distinct().orderBy("lang").collect()]
+    assert len(langs) > 1 and chain.categories == [*[f"toxic_{v}" for v in langs], "toxic"]
+    assert [len(w) for w in chain.weights] == [len(chain.words) + j for j in range(len(chain.categories))]
+
+
+def test_toxic_rows_are_taken_from_every_language(spark):
+    rows = [(i, ("bad" if i % 2 else "good") + f" w{i % 7}", "xx" if i in (1, 3) else "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    chain = toxicity.fit(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic"), toxic_rows=20)
+    assert chain.categories == ["toxic_en", "toxic_xx", "toxic"] and chain.biases[1] != chain.biases[0]
+    p = dict(zip(chain.categories, toxicity.score_texts(chain, ["bad w1"])[0], strict=True))
+    assert p["toxic"] > 0.5 and p["toxic_xx"] > 1e-3
+
+
 # --- 9 packing ----------------------------------------------------------------------
 
 def test_column_generation_reaches_the_optimum():
