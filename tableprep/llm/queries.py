@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableprep.llm import chat, mixing, packing, pii, quality, simjoin, syncmers, tokens, topk, toxicity
+from tableprep.llm import align, chat, lexical, licenses, mixing, packing, pii, quality, simjoin, syncmers, tokens, topk, toxicity
 from tableprep.llm.common import documents
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,8 +85,21 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simjoin.similar_groups(documents(spark, sf_dir))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(documents(spark, sf_dir)))
+
+
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_top_k, op3_format_preferences, op4_token_files, op5_personal_data,
-                                   op6_quality, op7_syncmers, op8_toxicity, op9_pack, op10_ngram_join)}
+                                   op6_quality, op7_syncmers, op8_toxicity, op9_pack, op10_ngram_join,
+                                   op11_license_scan, op12_align_tokenizers, op13_ranked_search)}
 ORACLES: dict[str, str] = {
     "op2_exact_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
@@ -96,4 +109,17 @@ ORACLES: dict[str, str] = {
                    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
              r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op13_ranked_search": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+             d AS (SELECT doc_id, len(t) AS n, t FROM w WHERE len(t) > 0),
+             c AS (SELECT count(*) AS n_docs, sum(n) AS n_words FROM d),
+             m AS (SELECT doc_id, t, CAST(100 - 25 + ((25 * n * n_docs) // n_words) AS BIGINT) AS m FROM d, c),
+             p AS (SELECT doc_id, m, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, m, unnest(t) AS term FROM m) GROUP BY ALL),
+             f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+             x AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM f, c),
+             q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+             s AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+                   FROM q JOIN x USING (term) JOIN p USING (term) GROUP BY item_id, doc_id),
+             r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20""",
 }
