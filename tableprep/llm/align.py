@@ -37,9 +37,10 @@ class Pair:
     before a blank or a new line that follows another sign; where no token of either
     vocabulary can reach across such a place both encode chunks as they would the whole
     text. Otherwise the whole text is one chunk. The cache is emptied when it has
-    CACHE chunks or CACHE_LINKS links, so its size doesn't follow the data."""
+    CACHE chunks or CACHE_LINKS links, so its size doesn't follow the data; LEARN new
+    chunks at most are encoded at a time."""
 
-    CACHE, CACHE_LINKS = 400_000, 3_000_000
+    CACHE, CACHE_LINKS, LEARN = 400_000, 3_000_000, 8192
     _known: dict[tuple[str, str], "Pair"] = {}
 
     def __init__(self, path_a: str, path_b: str):
@@ -133,8 +134,9 @@ class Pair:
             self.clear()
         chunks = [self.chunk.findall(" " + t) if t else [] for t in texts]
         new = dict.fromkeys(c for own in chunks for c in own if c not in self.index)
-        if new:
-            self._learn(list(new))
+        new = list(new)
+        for i in range(0, len(new), self.LEARN):
+            self._learn(new[i:i + self.LEARN])
         links, counts, written = [], np.zeros((len(texts), 3), np.int64), []
         for k, own in enumerate(chunks):
             at = list(map(self.index.__getitem__, own))
@@ -167,7 +169,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
         from pyspark import TaskContext
         pair, slice_ = Pair.of(path_a, path_b), TaskContext.get().partitionId() << 32
         kind = "<u2" if pair.n_a <= 1 << 16 else "<u4"
-        for batch, texts in slices(batches, "text"):
+        for batch, texts in slices(batches, "text", 700_000):
             links, counts, written = pair.align(texts)
             code = np.concatenate(links)
             known = pair.identity[code // pair.n_b] == code % pair.n_b
