@@ -63,9 +63,10 @@ def row_order(cols) -> Column:
     return F.struct((-completeness(cols)).alias('c'), row_fingerprint(cols).alias('t'))
 
 
-def merge_by_key(df: DataFrame, key: str) -> DataFrame:
+def merge_by_key(df: DataFrame, key: str, count: str | None = None) -> DataFrame:
     """One row per key; each column takes the first non-missing value in
-    (completeness desc, fingerprint asc) order. NULL keys are dropped.
+    (completeness desc, fingerprint asc) order. NULL keys are dropped. `count` names
+    a further column for the number of rows merged.
 
     One aggregation: `min_by` ignores rows whose ordering is NULL, which is how
     a value-less row is skipped for that column only. The row priority is
@@ -74,8 +75,9 @@ def merge_by_key(df: DataFrame, key: str) -> DataFrame:
     cols = [c for c in df.columns if c != key]
     ranked = df.filter(_q(key).isNotNull()).withColumn('__order', row_order(df.columns))
     merged = ranked.groupBy(key).agg(*[
-        F.min_by(_q(c), F.when(_q(c).isNotNull(), F.col('__order'))).alias(c) for c in cols])
-    return merged.select(*df.columns)
+        F.min_by(_q(c), F.when(_q(c).isNotNull(), F.col('__order'))).alias(c) for c in cols],
+        *([F.count(F.lit(1)).alias(count)] if count else []))
+    return merged.select(*df.columns, *([count] if count else []))
 
 
 def merge_evidence(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

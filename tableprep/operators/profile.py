@@ -72,11 +72,12 @@ def null_count_columns(df: DataFrame, cols=None) -> DataFrame:
 
 
 def missing_by_column(df: DataFrame, cols=None, only_missing: bool = True) -> DataFrame:
-    """Missing count and percent (1 decimal) per column, >0 only."""
+    """Missing count and percent (1 decimal) per column, >0 only, most missing first."""
     out = null_count_columns(df, cols).select(
         'column', 'missing_count',
         F.round(F.col('missing_count') * 100.0 / F.col('rows'), 1).alias('missing_pct'))
-    return out.filter('missing_count > 0') if only_missing else out
+    out = out.filter('missing_count > 0') if only_missing else out
+    return out.orderBy(F.desc('missing_count'), 'column')          # one row per column
 
 
 def null_count_expr(cols) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tableprep import config as C
 from tableprep.config import PrepareConfig
 from tableprep.functions import text as X
-from tableprep.operators import clean, dedup, encode, extract, features, impute, outliers, profile, split
+from tableprep.operators import clean, dedup, encode, extract, features, impute, observed, outliers, profile, split
 from tableprep.operators.quantile import exact_quantiles
 from tableprep.session import materialize
 
@@ -97,13 +97,79 @@ def split_stage(df_rec: DataFrame, cfg: PrepareConfig = PrepareConfig()) -> Data
     return out.withColumn('log_price', F.when(F.col(cfg.cols.price) > 0, F.ln(F.col(cfg.cols.price))))
 
 
-def until_split(raw: DataFrame, cfg: PrepareConfig = PrepareConfig()):
-    t, report = typed(raw, cfg)
+def until_split(raw: DataFrame, cfg: PrepareConfig = PrepareConfig(), watch: observed.Watch | None = None):
+    """(split table, logs). With `watch`, the same plan with the reports' metrics in it."""
+    if watch is None:
+        t, report = typed(raw, cfg)
+    else:
+        t, report = clean.convert_columns(watched_scope(raw, cfg, watch), CONVERSION_RULES)
     corr, logs = corrected(t, cfg)
     rec, logs2 = recovered(corr, cfg)
     return split_stage(rec, cfg), {'conversion': report, **logs, **logs2}
 
 
+def watched_scope(raw: DataFrame, cfg: PrepareConfig, watch: observed.Watch) -> DataFrame:
+    """scoped() with metrics of the raw and cleaned cells, the merge and the scope."""
+    c = cfg.cols
+    null_key = F.coalesce(F.sum(F.col(c.key).isNull().cast('long')), F.lit(0)).alias('null_keys')
+    df = watch.rows(raw, 'raw', *observed.missing_exprs(raw.columns))
+    df = watch.rows(cleaned(df, cfg), 'clean', null_key, *observed.missing_exprs(raw.columns))
+    df = dedup.merge_by_key(df, c.key, '__merged')
+    n = F.col('__merged')
+    total = lambda x, name: F.coalesce(F.sum(x), F.lit(0)).cast('long').alias(name)
+    df = watch.rows(df, 'merged', total(n, 'merged_rows'), total((n > 1).cast('long'), 'repeated_keys'),
+                    total(F.when(n > 1, n), 'rows_of_repeated_keys'),
+                    total(F.col(c.property_type).eqNullSafe(F.lit(cfg.out_of_scope_type)).cast('long'), 'out_of_scope'))
+    return clean.remove_category(df.drop('__merged'), c.property_type, cfg.out_of_scope_type)
+
+
+def pass_reports(watch: observed.Watch, raw: DataFrame) -> DataFrame:
+    """(report, item, metric, value): B4-B7, C4, D2 and G3, all read from the metrics of
+    the pass that wrote the split table. As many rows as columns, whatever the input."""
+    cols, merged = raw.columns, watch.get('merged')
+    # rows without a key don't come through the merge: they are counted beside it
+    passed = watch.get('clean')
+    rows = passed['null_keys'] + merged['merged_rows']
+    passed = watch.get('clean', rows)
+    if passed['null_keys'] + merged['merged_rows'] != rows:
+        rows = passed['rows']
+    before = watch.get('raw', rows)
+    b, a = observed.missing_counts(before, cols), observed.missing_counts(passed, cols)
+    n = before['rows']
+    out = [('missing_raw', x, m, v) for x, k in b.items() if k for m, v in (('count', k), ('pct', round(k * 100.0 / n, 1)))]
+    out += [('missing_per_row', 'raw', m, v) for m, v in observed.missing_per_row(before, cols).items()]
+    out += [('non_null', x, 'count', n - k) for x, k in a.items()]
+    out += [('missing_delta', x, m, v) for x in cols if b[x] or a[x]
+            for m, v in (('before', b[x]), ('after', a[x]), ('difference', a[x] - b[x]))]
+    out += [('duplicate_keys', 'key', m, merged[m]) for m in ('repeated_keys', 'rows_of_repeated_keys')]
+    out += [('duplicate_keys', 'key', 'rows_merged_away', merged['merged_rows'] - merged['rows']),
+            ('duplicate_keys', 'key', 'null_keys', passed['null_keys'])]
+    out += [('scope', 'property_type', 'removed', merged['out_of_scope']),
+            ('scope', 'property_type', 'kept', merged['rows'] - merged['out_of_scope'])]
+    sides = watch.get('split')
+    for side in ('train', 'test'):
+        out += [('split', side, 'rows', sides[side])] if sides[side] else []
+        out += [('split', side, 'share', round(sides[side] / sides['rows'], 3))] if sides[side] else []
+    return raw.sparkSession.createDataFrame([(r, i, m, float(v)) for r, i, m, v in out],
+                                            'report string, item string, metric string, value double')
+
+
+def feature_reports(feat: DataFrame, cfg: PrepareConfig) -> DataFrame:
+    """(report, item, metric, value): H3 per split and B12 (label and size), one
+    aggregate over the featured rows."""
+    c = cfg.cols
+    g = features.engineering_report(feat, c.address, c.year, c.facilities).alias('g')
+    names = [x for x in g.columns if x != 'split']
+    long = g.select(F.col('split').alias('item'), F.explode(F.array(*[
+        F.struct(F.lit(x).alias('metric'), F.col(x).cast('double').alias('value')) for x in names])).alias('r')) \
+        .select(F.lit('engineering').alias('report'), 'item', 'r.*')
+    ms = profile.mean_std(feat, ['log_price', c.size])
+    ms = ms.select(F.lit('mean_std').alias('report'), F.concat_ws('.', 'split', 'column').alias('item'), F.explode(F.array(
+        F.struct(F.lit('mean').alias('metric'), F.col('mean').alias('value')),
+        F.struct(F.lit('std').alias('metric'), F.col('std').alias('value')))).alias('r')).select('report', 'item', 'r.*')
+    return long.unionByName(ms)
+
+
 # --- stages after the split (fits on train only) -----------------------------------
 
 def outlier_rules(df: DataFrame, cfg: PrepareConfig, corrections: DataFrame = None):
@@ -183,15 +249,20 @@ def encode_fit_apply(df: DataFrame, cfg: PrepareConfig):
 def prepare(raw: DataFrame, cfg: PrepareConfig = PrepareConfig(), corrections: DataFrame = None,
             checkpoint: bool = True, strict: bool = False) -> PreparedTable:
     c = cfg.cols
-    df, logs = until_split(raw, cfg)
+    watch = observed.Watch() if checkpoint else None  # without a write here there is no pass to watch
+    df, logs = until_split(raw, cfg, watch)
+    passed = None
     if checkpoint:
-        df = materialize(df, 'split-stage')
+        sides = [F.coalesce(F.sum((F.col('split') == x).cast('long')), F.lit(0)).alias(x) for x in ('train', 'test')]
+        df = materialize(watch.rows(df, 'split', *sides), 'split-stage')
+        passed = pass_reports(watch, raw)
     df, olog, oparams = outlier_rules(df, cfg, corrections)
     logs.update(olog)
     # The encoder and imputation fits, the accounting and the caller all read the
     # featured rows: keep them once (spills to disk; a lost block is recomputed
     # from the checkpoint above, not from the raw scan).
     df = fixed_features(df, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    featured = feature_reports(df, cfg)
     df, eda, eparams, ereports = encode_fit_apply(df, cfg)
     eda = eda.withColumn(c.price, F.bround(F.col(c.price), 0).cast('long'))
     df, drop_report = clean.drop_columns(df, {'no_engineering': DROP_NO_ENGINEERING,
@@ -203,7 +274,7 @@ def prepare(raw: DataFrame, cfg: PrepareConfig = PrepareConfig(), corrections: D
     scaled = impute.log1p_columns(df, SCALE_COLS)
     params = {**oparams, **eparams, 'medians': mp}
     feats = feature_columns(df, cfg)
-    reports = {'drop': drop_report, **ereports,
+    reports = {'drop': drop_report, **ereports, 'features': featured, **({'pass': passed} if passed is not None else {}),
                'summary': summary(raw, df, feats, params, cfg)}
     return PreparedTable(df, scaled, eda, params, logs, reports)
 

@@ -169,6 +169,53 @@ def p1(spark, sf):
     return PP.prepare(raw(spark, sf)).reports['summary']
 
 
+def _p1_reports_sql() -> str:
+    """The reports of P1's pass by SQL over the fixture and its stages."""
+    cols = S.LISTING_COLUMNS
+    miss = lambda src: ", ".join(f"sum(CAST({c} IS NULL AS INTEGER)) AS {c}" for c in cols)
+    per_row = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in cols)
+    unpivot = lambda src, name: f"{name} AS (SELECT * FROM (SELECT {miss(src)} FROM {src}) UNPIVOT (k FOR item IN ({', '.join(cols)})))"
+    eng = ['rows', 'address_missing', 'state_unmatched', 'state_missing', 'year_missing', 'off_plan', 'age_missing',
+           'facilities_missing', 'facility_count_min', 'facility_count_max']
+    h3 = ("SELECT split, count(*) AS rows, sum(CAST(address IS NULL AS INTEGER)) AS address_missing, "
+          "sum(CAST(address IS NOT NULL AND state IS NULL AS INTEGER)) AS state_unmatched, "
+          "sum(CAST(state IS NULL AS INTEGER)) AS state_missing, sum(CAST(completion_year IS NULL AS INTEGER)) AS year_missing, "
+          "coalesce(sum(CAST(completion_year > 2023 AS INTEGER)), 0) AS off_plan, sum(CAST(property_age IS NULL AS INTEGER)) AS age_missing, "
+          "sum(CAST(facilities IS NULL AS INTEGER)) AS facilities_missing, min(listed_facility_count) AS facility_count_min, "
+          "max(listed_facility_count) AS facility_count_max FROM feat GROUP BY split")
+    parts = [
+        "SELECT 'missing_raw' AS report, item, 'count' AS metric, CAST(k AS DOUBLE) AS value FROM mr WHERE k > 0",
+        "SELECT 'missing_raw', item, 'pct', round(k * 100.0 / (SELECT count(*) FROM listings), 1) FROM mr WHERE k > 0",
+        *[f"SELECT 'missing_per_row', 'raw', '{m}', CAST({e} AS DOUBLE) FROM (SELECT {per_row} AS m FROM listings)" for m, e in (
+            ('count', 'count(*)'), ('mean', 'avg(m)'), ('std', 'stddev_samp(m)'), ('min', 'min(m)'), ('p25', 'quantile_cont(m, 0.25)'),
+            ('p50', 'quantile_cont(m, 0.5)'), ('p75', 'quantile_cont(m, 0.75)'), ('max', 'max(m)'))],
+        "SELECT 'non_null', item, 'count', (SELECT count(*) FROM clean) - k FROM mc",
+        *[f"SELECT 'missing_delta', item, '{m}', {e} FROM mr JOIN mc USING (item) WHERE mr.k > 0 OR mc.k > 0" for m, e in (
+            ('before', 'mr.k'), ('after', 'mc.k'), ('difference', 'mc.k - mr.k'))],
+        *[f"SELECT 'duplicate_keys', 'key', '{m}', coalesce({e}, 0) FROM keys" for m, e in (
+            ('repeated_keys', 'sum(CAST(n > 1 AS INTEGER))'), ('rows_of_repeated_keys', 'sum(CASE WHEN n > 1 THEN n END)'),
+            ('rows_merged_away', 'sum(n - 1)'))],
+        "SELECT 'duplicate_keys', 'key', 'null_keys', count(*) FROM clean WHERE ad_id IS NULL",
+        "SELECT 'scope', 'property_type', 'removed', (SELECT count(*) FROM merged) - (SELECT count(*) FROM scoped)",
+        "SELECT 'scope', 'property_type', 'kept', count(*) FROM scoped",
+        "SELECT 'split', split, 'rows', count(*) FROM splitted GROUP BY split",
+        "SELECT 'split', split, 'share', round(count(*) / (SELECT count(*) FROM splitted), 3) FROM splitted GROUP BY split",
+        *[f"SELECT 'engineering', split, '{m}', {m} FROM h3" for m in eng],
+        *[f"SELECT 'mean_std', split || '.{c}', '{m}', {f}({c}) FROM feat GROUP BY split" for c in ('log_price', 'property_size')
+          for m, f in (('mean', 'avg'), ('std', 'stddev_samp'))],
+    ]
+    return (f"{W('feat')}, {unpivot('listings', 'mr')}, {unpivot('clean', 'mc')}, "
+            f"keys AS (SELECT count(*) AS n FROM clean WHERE ad_id IS NOT NULL GROUP BY ad_id), h3 AS ({h3}) "
+            "SELECT report, item, metric, round(CAST(value AS DOUBLE), 6) AS value FROM (" + " UNION ALL ".join(parts) + ")")
+
+
+@query('p1_reports', _p1_reports_sql())
+def p1_reports(spark, sf):
+    """P1's reports (B4-B7, C4, D2, G3 from metrics of its own pass; H3 and B12 from its features)."""
+    made = PP.prepare(raw(spark, sf)).reports
+    return round_doubles(made['pass'].unionByName(made['features']))
+
+
 @query('p2_describe_job', f"{W('listings')}, {describe_sql('listings', DS.LISTING_SPEC)}")
 def p2(spark, sf):
     return DS.describe_job(raw(spark, sf))
