@@ -94,3 +94,7 @@ class PrepareConfig:
     rare_state: int = RARE_STATE_THRESHOLD
     rare_type: int = RARE_PROPERTY_TYPE_THRESHOLD
     reference_year: int = REFERENCE_YEAR
+    exact_split: bool = False      # True: the test side has exactly ceil(test_fraction * n) keys
+    max_columns: int = 1000        # of one encoder; a longer category list gives one sparse column
+    # features without a fill rule; any other missing cell in the result fails the job
+    may_miss: tuple = ('bedroom', 'bathroom', 'Is_Non_Bumi_Lot', 'Freehold_Indicator')

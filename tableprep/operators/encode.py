@@ -1,10 +1,11 @@
 """Categorical encoding.
 
 Fixed maps are `when` chains without `otherwise` (unmatched and missing stay
-missing). The rare merge joins rows to a fitted table of any size. Encoders that
-make a column per category read the category list from the training rows (a table
-has no room for more than `max_categories` columns; a longer list raises) and apply
-it as literal expressions in one projection.
+missing). The rare merge joins rows to a fitted table of any size. A column per
+category is made of literal expressions in one projection. A table has no room for
+more than `max_categories` such columns: fit_items() and fit_rare_one_hot() then give
+a fitted table and one sparse column instead (vocabulary.py), fit_multi_hot() and
+fit_one_hot(), which promise wide columns, raise.
 """
 
 from __future__ import annotations
@@ -15,7 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableprep.functions import text as X
+from tableprep.operators import vocabulary as V
+from tableprep.session import materialize
 
+#: Columns that one encoder may add to a wide table.
 MAX_CATEGORIES = 1000
 
 
@@ -86,6 +90,10 @@ class MultiHotParams:
     prefix: str = 'Has'
     taken: tuple = ()      # names that other columns have
 
+    @property
+    def width(self) -> int:
+        return len(self.vocabulary)
+
     def columns(self):
         return column_names(self.prefix, self.vocabulary, self.taken)
 
@@ -97,6 +105,19 @@ def fit_multi_hot(train: DataFrame, list_col: Column, prefix: str = 'Has',
     return MultiHotParams(tuple(_collect_categories(items, 'multi_hot', max_categories)), prefix)
 
 
+def fit_items(train: DataFrame, list_col: Column, prefix: str = 'Has', taken=(), max_categories: int = MAX_CATEGORIES):
+    """I5 fit for any vocabulary: MultiHotParams up to `max_categories` items, else SparseParams."""
+    items = materialize(train.select(F.explode(list_col).alias('item')).distinct(), 'items')
+    if items.count() > max_categories:
+        return V.fit_sparse(items, '', prefix)
+    return MultiHotParams(tuple(_collect_categories(items, 'multi_hot', max_categories)), prefix, tuple(taken))
+
+
+def apply_items(df: DataFrame, key: str, list_col: Column, p) -> DataFrame:
+    """I5 with either kind of fit; `key` is used by the sparse one only."""
+    return V.apply_items(df, key, list_col, p) if isinstance(p, V.SparseParams) else apply_multi_hot(df, list_col, p)
+
+
 def apply_multi_hot(df: DataFrame, list_col: Column, p: MultiHotParams) -> DataFrame:
     lst = F.col('__items')
     out = df.withColumn('__items', list_col)
@@ -107,7 +128,11 @@ def apply_multi_hot(df: DataFrame, list_col: Column, p: MultiHotParams) -> DataF
 def unseen_items(df: DataFrame, list_col: Column, p: MultiHotParams) -> DataFrame:
     """Items present in `df` but not in the fitted vocabulary (with counts)."""
     items = df.select(F.explode(list_col).alias('item'))
-    return items.filter(~F.col('item').isin(list(p.vocabulary))).groupBy('item') \
+    if isinstance(p, V.SparseParams):
+        unseen = items.join(p.table, F.col('item') == F.col('value'), 'left_anti')
+    else:
+        unseen = items.filter(~F.col('item').isin(list(p.vocabulary)))
+    return unseen.groupBy('item') \
         .agg(F.count(F.lit(1)).alias('count'))
 
 
@@ -128,9 +153,11 @@ def merge_rare(df: DataFrame, rare: DataFrame, col: str, other: str = 'Other') -
 
 @dataclass(frozen=True)
 class RareParams:
+    """The rare categories as a tuple, or as a `table` (rare) where they are many."""
     column: str
     rare: tuple
     other: str = 'Other'
+    table: DataFrame | None = None
 
 
 def fit_rare(train: DataFrame, col: str, min_count: int, other: str = 'Other',
@@ -142,6 +169,8 @@ def fit_rare(train: DataFrame, col: str, min_count: int, other: str = 'Other',
 
 def apply_rare(df: DataFrame, p: RareParams) -> DataFrame:
     c = _q(p.column)
+    if p.table is not None:
+        return merge_rare(df, p.table, p.column, p.other)
     if not p.rare:
         return df
     return df.withColumn(p.column, F.when(c.isin(list(p.rare)), F.lit(p.other)).otherwise(c))
@@ -155,6 +184,10 @@ class OneHotParams:
     categories: tuple      # sorted training categories; the first is the reference
     prefix: str
 
+    @property
+    def width(self) -> int:
+        return max(len(self.categories) - 1, 0)
+
     def columns(self):
         return column_names(self.prefix, self.categories[1:])
 
@@ -167,6 +200,8 @@ def fit_one_hot(train: DataFrame, col: str, prefix: str,
 
 def apply_one_hot(df: DataFrame, p: OneHotParams) -> DataFrame:
     """Drop-first one-hot; values unseen in training give all zeros."""
+    if isinstance(p, V.SparseParams):
+        return V.apply_category(df, p)
     c = _q(p.column)
     return df.withColumns({n: F.coalesce(c == v, F.lit(False)).cast('int')
                            for n, v in zip(p.columns(), p.categories[1:])})
@@ -181,23 +216,23 @@ def fit_rare_one_hot(train: DataFrame, spec: dict, other: str = 'Other',
 
     The one-hot categories after the merge are the frequent values plus
     `other` when anything was merged, sorted — no second pass needed.
-    Returns {column: (RareParams, OneHotParams)}.
+    Returns {column: (RareParams, OneHotParams or SparseParams)}: lists of up to
+    `max_categories` are read, longer ones stay tables.
     """
     cells = train.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias('column'), _q(c).cast('string').alias('value')) for c in spec])).alias('r')) \
         .select('r.*').filter(F.col('value').isNotNull())
-    counts = cells.groupBy('column', 'value').agg(F.count(F.lit(1)).alias('n'))
-    rows = counts.limit(max_categories * len(spec) + 1).collect()
-    if len(rows) > max_categories * len(spec):
-        raise ValueError("rare/one-hot fit: too many categories; raise max_categories")
+    counts = materialize(cells.groupBy('column', 'value').agg(F.count(F.lit(1)).alias('n')), 'category-counts')
     out = {}
     for c, (min_count, prefix) in spec.items():
-        seen = {r['value']: r['n'] for r in rows if r['column'] == c}
-        if len(seen) > max_categories:
-            raise ValueError(f"{c}: more than {max_categories} categories")
-        rare = tuple(sorted(v for v, n in seen.items() if n < min_count))
-        kept = {v for v, n in seen.items() if n >= min_count}
-        if rare:
-            kept.add(other)
-        out[c] = (RareParams(c, rare, other), OneHotParams(c, tuple(sorted(kept)), prefix))
+        own = counts.filter(F.col('column') == c)
+        rare, kept = own.filter(F.col('n') < min_count).select('value'), own.filter(F.col('n') >= min_count).select('value')
+        some = rare.limit(max_categories + 1).collect()
+        merged = RareParams(c, tuple(sorted(r[0] for r in some)), other) if len(some) <= max_categories \
+            else RareParams(c, (), other, rare.select(F.col('value').alias('rare')))
+        if some:
+            kept = kept.union(rare.select(F.lit(other).alias('value')).limit(1)).distinct()
+        head = kept.limit(max_categories + 1).collect()
+        out[c] = (merged, OneHotParams(c, tuple(sorted(r[0] for r in head)), prefix) if len(head) <= max_categories
+                  else V.fit_sparse(kept, c, prefix, reference=True))
     return out

@@ -150,6 +150,15 @@ def assert_no_missing(df: DataFrame) -> int:
     return n
 
 
+def require_no_missing(df: DataFrame, cols) -> DataFrame:
+    """B11 inside the plan: the job that writes `df` fails at the first row with a
+    missing cell in `cols`, naming its columns; no pass of its own. A filter, so
+    that column pruning can't take the check away."""
+    names = F.concat_ws(', ', *[F.when(F.col(f"`{c}`").isNull(), F.lit(c)) for c in cols])
+    bad = F.raise_error(F.concat(F.lit('missing cells remain in: '), names)).cast('boolean')
+    return df.filter(F.when(null_count_expr(cols) > 0, bad).otherwise(F.lit(True))) if cols else df
+
+
 def mean_std(df: DataFrame, cols, by: str = 'split') -> DataFrame:
     """Mean and sample std per column and group."""
     aggs = []

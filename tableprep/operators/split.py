@@ -30,6 +30,53 @@ def split_random(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42
     return df.withColumn(out, F.when(b < F.lit(int(test_frac * _SPACE)), 'test').otherwise('train'))
 
 
+def _digest(seed: int, *cols) -> Column:
+    """All 128 bits behind hash_bucket(), as text that sorts like the number."""
+    parts = [F.coalesce(F.col(c).cast('string'), F.lit('\u0000')) for c in cols]
+    return F.md5(F.concat_ws('|', F.lit(str(seed)), *parts))
+
+
+def kth_digest(digests: DataFrame, col: str, k: int, ranked: int = 4096) -> str:
+    """The k-th smallest (from 1) of a column of md5 texts. Each round counts rows by
+    the next three digits under the prefix found so far, 4096 numbers at most, and goes
+    into the bucket that holds the k-th; a bucket of up to `ranked` rows is
+    read and counted off. No row is sorted, nothing depends on the partitioning."""
+    prefix, size = '', None
+    while len(prefix) < 32:
+        inside = digests.filter(F.col(col).startswith(prefix)) if prefix else digests
+        if size is not None and size <= ranked:
+            for r in sorted(inside.groupBy(col).agg(F.count(F.lit(1)).alias('n')).collect()):
+                if k <= r['n']:
+                    return r[col]
+                k -= r['n']
+        digits = F.substring(col, len(prefix) + 1, 3).alias('d')
+        for r in sorted(inside.groupBy(digits).agg(F.count(F.lit(1)).alias('n')).collect()):
+            if k <= r['n']:
+                prefix, size = prefix + r['d'], r['n']
+                break
+            k -= r['n']
+        else:
+            raise ValueError("fewer rows than k")
+    return prefix
+
+
+def split_exact(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42, out: str = 'split') -> DataFrame:
+    """G1 with an exact size: the ceil(test_frac * n) rows with the smallest key digests
+    are the test side, n being the rows of `df`. Rows that repeat a key stay on one side,
+    so with repeated keys the test side is the least set of whole keys of at least that
+    size. The key column is written once; its digests are selected by counting."""
+    import math
+
+    from tableprep.session import materialize
+    digests = materialize(df.select(_digest(seed, key).alias('h')), 'split-digests')
+    n = digests.count()
+    k = min(n, math.ceil(round(test_frac * n, 9)))
+    if k <= 0:
+        return df.withColumn(out, F.lit('train'))
+    last = kth_digest(digests, 'h', k)
+    return df.withColumn(out, F.when(_digest(seed, key) <= F.lit(last), 'test').otherwise('train'))
+
+
 def split_grouped(df: DataFrame, group_cols, test_frac: float = 0.2, seed: int = 42,
                   out: str = 'split') -> DataFrame:
     """Group-aware split — the hash runs over the group's columns, so all

@@ -28,6 +28,7 @@ from tableprep.config import PrepareConfig
 from tableprep.functions import text as X
 from tableprep.operators import clean, dedup, encode, extract, features, impute, observed, outliers, profile, split
 from tableprep.operators.quantile import exact_quantiles
+from tableprep.operators.vocabulary import SparseParams
 from tableprep.session import materialize
 
 CONVERSION_RULES = {
@@ -93,7 +94,10 @@ def recovered(df_corr: DataFrame, cfg: PrepareConfig = PrepareConfig()):
 
 
 def split_stage(df_rec: DataFrame, cfg: PrepareConfig = PrepareConfig()) -> DataFrame:
-    out = split.split_random(df_rec, cfg.cols.key, cfg.test_fraction, cfg.seed)
+    if cfg.exact_split:  # selects among all keys first, so what leads up to here runs once and is written
+        out = split.split_exact(materialize(df_rec, 'recovered-stage'), cfg.cols.key, cfg.test_fraction, cfg.seed)
+    else:
+        out = split.split_random(df_rec, cfg.cols.key, cfg.test_fraction, cfg.seed)
     return out.withColumn('log_price', F.when(F.col(cfg.cols.price) > 0, F.ln(F.col(cfg.cols.price))))
 
 
@@ -189,8 +193,9 @@ def outlier_rules(df: DataFrame, cfg: PrepareConfig, corrections: DataFrame = No
     if corrections is not None:
         df, unmatched = clean.apply_corrections(df, corrections, c.key)
         logs['corrections_unmatched'] = unmatched
-    threshold = r['med'] * C.PARKING_PRICE_SHARE
-    cond = (F.col(c.parking) >= C.PARKING_LIMIT) & (F.col(c.price) < threshold)
+    # without a price among the training rows there is no threshold, and no cell is invalid
+    threshold = None if r['med'] is None else r['med'] * C.PARKING_PRICE_SHARE
+    cond = (F.col(c.parking) >= C.PARKING_LIMIT) & (F.col(c.price) < F.lit(threshold).cast('double'))
     df, park_log = clean.invalidate_if(df, c.parking, cond, c.key)
     logs['parking_invalid'] = park_log
     return df, logs, {'parking_price_threshold': threshold, 'size_z_train': zp_train}
@@ -228,15 +233,14 @@ def encode_fit_apply(df: DataFrame, cfg: PrepareConfig):
     """I5-I7 fitted on train, applied to all rows. Returns (df, eda, params, reports)."""
     c = cfg.cols
     train = df.filter("split = 'train'")
-    mh = encode.fit_multi_hot(train, facility_items(cfg))
     # an item that shares its name with a presence flag gets a name of its own; the others keep theirs
-    mh = encode.MultiHotParams(mh.vocabulary, mh.prefix, tuple(f"Has_{n}" for n in c.nearby))
-    out = encode.apply_multi_hot(df, facility_items(cfg), mh)
+    mh = encode.fit_items(train, facility_items(cfg), taken=tuple(f"Has_{n}" for n in c.nearby), max_categories=cfg.max_columns)
+    out = encode.apply_items(df, c.key, facility_items(cfg), mh)
     unseen = encode.unseen_items(out.filter("split = 'test'"), facility_items(cfg), mh)
     eda = out.filter("split = 'train'").drop(*EDA_DROP, 'log_price', 'split')
     out = clean.fill_constant(out, {'state': 'Unknown'})
     fitted = encode.fit_rare_one_hot(out.filter("split = 'train'"), {
-        'state': (cfg.rare_state, 'State'), c.property_type: (cfg.rare_type, 'PropertyType')})
+        'state': (cfg.rare_state, 'State'), c.property_type: (cfg.rare_type, 'PropertyType')}, max_categories=cfg.max_columns)
     (rs, oh_s), (rt, oh_t) = fitted['state'], fitted[c.property_type]
     out = encode.apply_rare(encode.apply_rare(out, rs), rt)
     # a test value the training rows never had is not a category: all zeros
@@ -247,7 +251,9 @@ def encode_fit_apply(df: DataFrame, cfg: PrepareConfig):
 
 
 def prepare(raw: DataFrame, cfg: PrepareConfig = PrepareConfig(), corrections: DataFrame = None,
-            checkpoint: bool = True, strict: bool = False) -> PreparedTable:
+            checkpoint: bool = True, strict: bool = True) -> PreparedTable:
+    """The whole job. With `strict` the table fails while it is read or written when a
+    feature outside `cfg.may_miss` still has a missing cell (B11)."""
     c = cfg.cols
     watch = observed.Watch() if checkpoint else None  # without a write here there is no pass to watch
     df, logs = until_split(raw, cfg, watch)
@@ -270,7 +276,7 @@ def prepare(raw: DataFrame, cfg: PrepareConfig = PrepareConfig(), corrections: D
     mp = impute.fit_median(df.filter("split = 'train'"), IMPUTE_SPEC)
     df = impute.apply_median(df, mp)
     if strict:
-        profile.assert_no_missing(df)
+        df = profile.require_no_missing(df, [x for x in feature_columns(df, cfg) if x not in cfg.may_miss])
     scaled = impute.log1p_columns(df, SCALE_COLS)
     params = {**oparams, **eparams, 'medians': mp}
     feats = feature_columns(df, cfg)
@@ -290,6 +296,8 @@ def summary(raw: DataFrame, final: DataFrame, feats, params: dict, cfg: PrepareC
     retained = [x for x in feats if x in raw_cols]
     engineered = [x for x in feats if x not in raw_cols]
     dropped = DROP_NO_ENGINEERING + DROP_REPLACED
+    # a sparse column stands for as many features as it has categories
+    inside = sum(params[p].width - 1 for p in ('multi_hot', 'one_hot_state', 'one_hot_type') if isinstance(params[p], SparseParams))
     spark = final.sparkSession
     n_split = final.groupBy('split').agg(F.count(F.lit(1)).alias('n'))
     counts = n_split.agg(
@@ -301,11 +309,11 @@ def summary(raw: DataFrame, final: DataFrame, feats, params: dict, cfg: PrepareC
     fixed = spark.createDataFrame([
         ('raw_features_retained', len(retained)),
         ('raw_features_dropped', len(dropped)),
-        ('engineered_features', len(engineered)),
-        ('state_one_hot_columns', len(params['one_hot_state'].columns())),
-        ('property_type_one_hot_columns', len(params['one_hot_type'].columns())),
+        ('engineered_features', len(engineered) + inside),
+        ('state_one_hot_columns', params['one_hot_state'].width),
+        ('property_type_one_hot_columns', params['one_hot_type'].width),
         ('missing_indicator_flags', sum(1 for v in IMPUTE_SPEC.values() if v)),
-        ('final_features', len(feats)),
+        ('final_features', len(feats) + inside),
     ], 'item string, result long')
     def rows(frame, pairs):
         return frame.select(F.explode(F.array(*[

@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tableprep import config as C
-from tableprep.operators import encode, features, impute, outliers, split
+from tableprep.operators import encode, features, impute, outliers, split, vocabulary
 from tableprep.plans import prepare as PP
 from tableprep.registry import sqltext as S
 from tableprep.registry.base import query, rnd, round_doubles, stage, table
+from tableprep.session import materialize
 
 W = S.with_stages
 Z_COLS = ['property_size', 'bedroom', 'bathroom', 'parking_lot']
@@ -148,6 +149,15 @@ def g1(spark, sf):
         .select('ad_id', 'split')
 
 
+@query('g1_split_exact', f"{W('recovered')} SELECT ad_id, CASE WHEN row_number() OVER (ORDER BY md5('42|' || "
+       "coalesce(CAST(ad_id AS VARCHAR), chr(0)))) <= ceil(round(0.2 * (SELECT count(*) FROM recovered), 9)) "
+       "THEN 'test' ELSE 'train' END AS split FROM recovered")
+def g1_exact(spark, sf):
+    """G1 with exactly ceil(0.2 * n) test rows."""
+    keys = materialize(stage(spark, sf, 'recovered').select('ad_id'), 'keys')
+    return split.split_exact(keys, 'ad_id', C.TEST_FRACTION, C.SPLIT_SEED)
+
+
 @query('g2_split_grouped', "SELECT o_orderkey, o_custkey, CASE WHEN ('0x' || substr(md5('42|' || "
        f"CAST(o_custkey AS VARCHAR)), 1, 8))::BIGINT < {S.HALF} THEN 'test' ELSE 'train' END AS split FROM orders")
 def g2(spark, sf):
@@ -262,6 +272,29 @@ def i5(spark, sf):
     return _long_flags(encode.apply_multi_hot(df, items, p), 'ad_id', p.columns())
 
 
+@query('i5_sparse_items', f"{W('feat')}, it AS (SELECT ad_id, split, {_ITEMS} AS items FROM feat), "
+       "voc AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS index FROM (SELECT DISTINCT unnest(items) AS item "
+       "FROM it WHERE split = 'train')) SELECT ad_id, index, 'Has_' || replace(item, ' ', '_') AS \"column\", 1 AS value "
+       "FROM (SELECT DISTINCT ad_id, unnest(items) AS item FROM it) JOIN voc USING (item)")
+def i5_sparse(spark, sf):
+    """I5 for any vocabulary: (key, index, column, value) of the cells that are 1."""
+    df = materialize(stage(spark, sf, 'feat').select('ad_id', 'split', PP.facility_items().alias('items')), 'items')
+    p = vocabulary.fit_sparse(_train(df).select(F.explode('items').alias('value')).distinct(), 'items', 'Has')
+    return vocabulary.sparse_rows(df, 'ad_id', F.col('items'), p).join(p.names(), 'index').select('ad_id', 'index', 'column', 'value')
+
+
+@query('i7_sparse_names', "WITH p AS (SELECT p_partkey, p_name, ('0x' || substr(md5('42|' || CAST(p_partkey AS VARCHAR)), 1, 8))::BIGINT "
+       f"< {S.HALF} AS test FROM part), voc AS (SELECT v, row_number() OVER (ORDER BY v) - 2 AS index FROM (SELECT DISTINCT p_name "
+       "AS v FROM p WHERE NOT test AND p_name IS NOT NULL)) SELECT p_partkey, index, 'Name_' || replace(v, ' ', '_') AS \"column\", "
+       "1 AS value FROM p JOIN voc ON p_name = v WHERE index >= 0")
+def i7_sparse(spark, sf):
+    """I7 for any number of categories: every part name of the training rows is one."""
+    df = split.split_random(table(spark, sf, 'part').select('p_partkey', 'p_name'), 'p_partkey', C.TEST_FRACTION, C.SPLIT_SEED)
+    df = materialize(df, 'names')
+    p = vocabulary.fit_sparse(_train(df).filter('p_name IS NOT NULL').select('p_name').distinct(), 'p_name', 'Name', reference=True)
+    return vocabulary.sparse_rows(df, 'p_partkey', F.col('p_name'), p).join(p.names(), 'index').select('p_partkey', 'index', 'column', 'value')
+
+
 _STATE_RARE = ("st AS (SELECT ad_id, split, coalesce(state, 'Unknown') AS state FROM feat), "
                f"rare AS (SELECT state FROM st WHERE split = 'train' GROUP BY state HAVING count(*) < {C.RARE_STATE_THRESHOLD})")
 

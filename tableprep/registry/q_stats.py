@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tableprep.operators import stats
@@ -9,9 +11,11 @@ from tableprep.plans import apply as AP
 from tableprep.plans import describe as DS
 from tableprep.plans import eda as ED
 from tableprep.plans import prepare as PP
+from tableprep.plans import store
 from tableprep.registry import sqltext as S
 from tableprep.registry.base import query, raw, rnd, round_doubles, stage, table
 from tableprep.registry.q_clean import describe_sql
+from tableprep.session import scratch_dir
 
 W = S.with_stages
 
@@ -240,14 +244,17 @@ def _long_features(df, key: str, cols):
 
 @query('p4_apply')
 def p4(spark, sf):
-    """Fit on the training rows, then transform the raw records of the
-    held-out keys as new rows with the frozen parameters. Reported in long form
+    """P1 fits on the training rows and its parameters go to a store; the raw
+    records of the held-out keys are then new rows, transformed with what is read
+    back. Reported in long form
     (ad_id, feature, value) because the one-hot/multi-hot columns are fitted."""
     r = raw(spark, sf)
     prepared = PP.prepare(r)
     test_keys = prepared.data.filter("split = 'test'").select('ad_id')
     new_rows = r.join(test_keys, 'ad_id', 'left_semi')
-    out = AP.transform(new_rows, prepared.params)
+    root = scratch_dir(spark, f"params-{uuid.uuid4().hex[:12]}")
+    store.save(spark, prepared.params, root, 1)
+    out = AP.transform(new_rows, store.load(spark, root))
     return round_doubles(_long_features(out, 'ad_id', PP.feature_columns(out)))
 
 
