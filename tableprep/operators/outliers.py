@@ -155,6 +155,105 @@ def mahalanobis_table(df: DataFrame, x: str, y: str, p: float = C.CHI2_P) -> Dat
                     F.coalesce(F.sum((mahalanobis_sq(mp) > mp.cutoff).cast('long')), F.lit(0)).alias('outliers'))
 
 
+# --- F4 for any number of columns ----------------------------------------------------
+
+def _lower_gamma(a: float, x: float) -> float:
+    """Regularised lower incomplete gamma function by its series."""
+    if x <= 0:
+        return 0.0
+    term = total = 1.0 / a
+    k = a
+    while term > total * 1e-17:
+        k += 1
+        term *= x / k
+        total += term
+    return min(1.0, total * math.exp(a * math.log(x) - x - math.lgamma(a)))
+
+
+def chi2_cutoff(p: float, dof: int) -> float:
+    """χ² quantile for any degrees of freedom, by halving."""
+    if dof == 2:
+        return chi2_cutoff_df2(p)
+    low, high = 0.0, 1.0
+    while _lower_gamma(dof / 2, high / 2) < p:
+        high *= 2
+    while high - low > 1e-14 * high:
+        mid = (low + high) / 2
+        if mid in (low, high):
+            break
+        low, high = (mid, high) if _lower_gamma(dof / 2, mid / 2) < p else (low, mid)
+    return (low + high) / 2
+
+
+@dataclass(frozen=True)
+class DistanceParams:
+    """Means and the covariance's lower Cholesky factor, row by row; None where the
+    covariance has no inverse (a constant column, or one that follows from others)."""
+    cols: tuple
+    mean: tuple
+    factor: tuple | None
+    n: int
+    cutoff: float
+
+
+def _cholesky(cov: list[list[float]]) -> tuple | None:
+    """Lower factor, or None where a pivot is nothing beside its column's own variance."""
+    rows: list[list[float]] = []
+    for i, c in enumerate(cov):
+        rows.append([])
+        for j in range(i):
+            rows[i].append((c[j] - sum(a * b for a, b in zip(rows[i], rows[j]))) / rows[j][j])
+        left = c[i] - sum(a * a for a in rows[i])
+        if not left > 1e-12 * c[i] or not math.isfinite(left):
+            return None
+        rows[i].append(math.sqrt(left))
+    return tuple(tuple(r) for r in rows)
+
+
+def fit_distance(train: DataFrame, cols, p: float = C.CHI2_P) -> DistanceParams:
+    """F4 fit: means, variances and covariances of the rows complete in `cols`, one
+    aggregate whose row has a number per pair of columns."""
+    cols = list(cols)
+    whole = train.filter(' AND '.join(f"`{c}` IS NOT NULL" for c in cols))
+    r = whole.agg(F.count(F.lit(1)).alias('n'), *[F.avg(_q(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                  *[F.covar_samp(_q(cols[i]), _q(cols[j])).alias(f"c{i}_{j}") for i in range(len(cols)) for j in range(i + 1)]).first()
+    factor = None
+    if r['n'] > 1:
+        factor = _cholesky([[r[f"c{max(i, j)}_{min(i, j)}"] for j in range(len(cols))] for i in range(len(cols))])
+    return DistanceParams(tuple(cols), tuple(r[f"m{i}"] for i in range(len(cols))), factor, r['n'], chi2_cutoff(p, len(cols)))
+
+
+def distance_sq(p: DistanceParams) -> Column:
+    """Squared Mahalanobis distance by forward substitution; missing for rows that aren't
+    complete and where the covariance has no inverse."""
+    if p.factor is None:
+        return F.lit(None).cast('double')
+    z: list[Column] = []
+    for i, (c, row) in enumerate(zip(p.cols, p.factor)):
+        left = _q(c) - F.lit(p.mean[i])
+        for k in range(i):
+            left = left - F.lit(row[k]) * z[k]
+        z.append(left / F.lit(row[i]))
+    return sum((v * v for v in z[1:]), z[0] * z[0])
+
+
+def distance_table(df: DataFrame, cols, p: float = C.CHI2_P) -> DataFrame:
+    """F4 as one report for any number of columns."""
+    dp = fit_distance(df, cols, p)
+    d2 = distance_sq(dp)
+    return df.agg(F.lit(dp.n).cast('long').alias('rows'), F.lit(dp.cutoff).alias('cutoff'),
+                  F.coalesce(F.sum((d2 > dp.cutoff).cast('long')), F.lit(0)).alias('outliers'), F.avg(d2).alias('mean_d2'))
+
+
+def distance_review(train: DataFrame, cols, key: str, p: float = C.CHI2_P, every: bool = False) -> DataFrame:
+    """key and columns of the rows beyond the cutoff, with their squared distance; with
+    `every`, of all complete rows, those beyond marked."""
+    dp = fit_distance(train, cols, p)
+    out = train.withColumn('d2', distance_sq(dp)).withColumn('outlier', F.col('d2') > dp.cutoff)
+    out = out.filter(F.col('d2').isNotNull() if every else F.col('outlier'))
+    return out.select(key, *cols, 'd2', *(['outlier'] if every else []))
+
+
 def ellipse(p: MahalanobisParams) -> dict:
     """confidence-ellipse centre, angle (degrees), width and height."""
     a, b, c = p.vx, p.cxy, p.vy

@@ -34,6 +34,29 @@ def a1(spark, sf):
     return io.read_table(spark, path, schema=src.schema)
 
 
+_MESSY = [
+    "CAST(o_orderkey AS STRING) AS id",
+    "CASE WHEN o_orderkey % 7 = 0 THEN '#N/A' ELSE CAST(o_custkey AS STRING) END AS cust",
+    "CASE WHEN o_orderkey % 11 = 0 THEN 'NaN' ELSE CAST(o_totalprice AS STRING) END AS price",
+    "CASE WHEN o_orderkey % 13 = 0 THEN '<NA>' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS day",
+    "CASE WHEN o_orderkey % 3 = 0 THEN 'True' WHEN o_orderkey % 3 = 1 THEN 'FALSE' ELSE 'null' END AS flag",
+    "CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE o_orderpriority END AS priority",
+    "CASE WHEN o_orderkey % 17 = 0 THEN concat(o_custkey, '.50') ELSE CAST(o_custkey AS STRING) END AS mixed",
+    "'nan' AS nothing",
+]
+
+
+@query('a1_read_typed', "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS cust, "
+       "CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS price, CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderdate AS DATE) END AS day, "
+       "CASE o_orderkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS flag, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS priority, "
+       "o_custkey + CASE WHEN o_orderkey % 17 = 0 THEN 0.5::DOUBLE ELSE 0::DOUBLE END AS mixed, CAST(NULL AS VARCHAR) AS nothing FROM orders")
+def a1_typed(spark, sf):
+    """A1 as a loader: orders written as text with missing tokens, read back with voted types."""
+    path = _scratch(spark, 'a1-typed')
+    io.write_csv(table(spark, sf, 'orders').selectExpr(*_MESSY), path)
+    return io.read_typed(spark, path)
+
+
 _A2_SQL = ("SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS \"column\", "
            "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
            "WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END AS data_type "

@@ -86,6 +86,34 @@ def f4(spark, sf):
     return round_doubles(outliers.mahalanobis_table(_train(stage(spark, sf, 'splitted')), 'floors', 'total_units'))
 
 
+#: chi-square, 0.975, three degrees of freedom, from a printed table.
+CUT3 = 9.348403604496148
+_M3 = ("tri AS (SELECT ad_id, floors AS x, total_units AS y, property_size AS z FROM splitted WHERE split = 'train' AND floors IS NOT NULL "
+       "AND total_units IS NOT NULL AND property_size IS NOT NULL), "
+       "mo AS (SELECT avg(x) AS mx, avg(y) AS my, avg(z) AS mz, var_samp(x) AS a, covar_samp(x, y) AS b, covar_samp(x, z) AS c, "
+       "var_samp(y) AS d, covar_samp(y, z) AS e, var_samp(z) AS f, count(*) AS n FROM tri), "
+       "iv AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM mo), "
+       "m3 AS (SELECT tri.*, ((x - mx) * (x - mx) * (d * f - e * e) + (y - my) * (y - my) * (a * f - c * c) + (z - mz) * (z - mz) * (a * d - b * b) "
+       "+ 2 * (x - mx) * (y - my) * (c * e - b * f) + 2 * (x - mx) * (z - mz) * (b * e - c * d) + 2 * (y - my) * (z - mz) * (b * c - a * e)) / det AS d2 "
+       "FROM tri, iv)")
+
+
+@query('f4_three_columns', rnd(f"{W('splitted')}, {_M3} SELECT (SELECT n FROM mo) AS rows, CAST({CUT3!r} AS DOUBLE) AS cutoff, "
+       f"CAST(coalesce(sum(CASE WHEN d2 > {CUT3!r} THEN 1 END), 0) AS BIGINT) AS outliers, avg(d2) AS mean_d2 FROM m3", ['cutoff', 'mean_d2']))
+def f4_three(spark, sf):
+    """F4 on three columns; the SQL writes the inverse out, Spark solves by a factor."""
+    return round_doubles(outliers.distance_table(_train(stage(spark, sf, 'splitted')), ['floors', 'total_units', 'property_size']))
+
+
+@query('f6_parking_price', rnd(f"{W('splitted')}, raw AS (SELECT * REPLACE (exp(log_price) AS price) FROM splitted WHERE log_price IS NOT NULL), "
+       f"{_M.format(x='parking_lot', y='price').replace('FROM splitted', 'FROM raw')} SELECT ad_id, parking_lot, price, d2, d2 > {CUT!r} AS outlier FROM d",
+       ['price', 'd2'], 4))
+def f6_price(spark, sf):
+    """F6 on parking lots and price, the label taken back from its logarithm to its own units."""
+    tr = _train(stage(spark, sf, 'splitted')).withColumn('price', F.exp('log_price'))
+    return round_doubles(outliers.distance_review(tr, ['parking_lot', 'price'], 'ad_id', every=True), 4)
+
+
 @query('f5_ellipse', rnd(f"{W('splitted')}, {_M.format(x='floors', y='total_units')}, "
        "ev AS (SELECT *, (vx + vy) / 2 + sqrt(pow((vx - vy) / 2, 2) + cxy * cxy) AS l1, "
        "(vx + vy) / 2 - sqrt(pow((vx - vy) / 2, 2) + cxy * cxy) AS l2 FROM mm), "

@@ -13,7 +13,7 @@ from tableprep.plans import eda as ED
 from tableprep.plans import prepare as PP
 from tableprep.plans import store
 from tableprep.registry import sqltext as S
-from tableprep.registry.base import query, raw, rnd, round_doubles, stage, table
+from tableprep.registry.base import ORACLES, query, raw, rnd, round_doubles, stage, table
 from tableprep.registry.q_clean import describe_sql
 from tableprep.session import scratch_dir
 
@@ -104,21 +104,42 @@ def k8(spark, sf):
 _K9 = ['l_quantity', 'l_discount', 'l_tax']
 
 
-@query('k9_pearson', rnd(" UNION ALL ".join(
+_SIMPSON = "(CASE WHEN i IN (0, {k}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)"
+
+
+def _with_t(sql: str) -> str:
+    """Adds the two-sided p of t at n - 2 degrees: one less twice the density's integral
+    from 0 to |t| (beyond 40 nearly nothing is left), by Simpson's rule."""
+    d, top = "(n - 2)::DOUBLE", "least(abs(t), 40)"
+    density = f"exp(lgamma(({d} + 1) / 2) - lgamma({d} / 2) - 0.5 * ln({d} * pi()) - ({d} + 1) / 2 * ln(1 + pow({top} * i / 4000, 2) / {d}))"
+    return (f"WITH st AS ({sql}) SELECT st.*, round(greatest(1 - 2 * {top} / 12000 * (SELECT sum({_SIMPSON.format(k=4000)} * {density}) "
+            "FROM range(4001) g(i)), 0), 6) AS p_value FROM st")
+
+
+def _with_f(sql: str) -> str:
+    """Adds the upper p of f, from the density's integral from 0 to f in the same way."""
+    a, b, u = "df_between::DOUBLE", "df_within::DOUBLE", "(f * i / 20000)"
+    density = (f"exp(lgamma(({a} + {b}) / 2) - lgamma({a} / 2) - lgamma({b} / 2) + {a} / 2 * ln({a} / {b}) + ({a} / 2 - 1) * ln{u} "
+               f"- ({a} + {b}) / 2 * ln(1 + {a} * {u} / {b}))")
+    return (f"WITH st AS ({sql}) SELECT st.*, round(greatest(1 - f / 60000 * (SELECT sum({_SIMPSON.format(k=20000)} * {density}) "
+            "FROM range(1, 20001) g(i)), 0), 6) AS p_value FROM st")
+
+
+@query('k9_pearson', rnd(_with_t(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, corr({c}, l_extendedprice) AS r, CAST(sum(CAST({c} IS NOT NULL AND l_extendedprice "
     f"IS NOT NULL AS INTEGER)) AS BIGINT) AS n, corr({c}, l_extendedprice) * sqrt((sum(CAST({c} IS NOT NULL AND "
     f"l_extendedprice IS NOT NULL AS INTEGER)) - 2) / (1 - pow(corr({c}, l_extendedprice), 2))) AS t FROM lineitem"
-    for c in _K9), ['r', 't']))
+    for c in _K9)), ['r', 't']))
 def k9(spark, sf):
     return round_doubles(stats.pearson(table(spark, sf, 'lineitem'), _K9, 'l_extendedprice'))
 
 
-@query('k10_anova', rnd("WITH g AS (SELECT o_orderpriority, count(*) AS n, avg(o_totalprice) AS m, "
+@query('k10_anova', rnd(_with_f("WITH g AS (SELECT o_orderpriority, count(*) AS n, avg(o_totalprice) AS m, "
        "var_samp(o_totalprice) AS v FROM orders WHERE o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL "
        "GROUP BY 1), t AS (SELECT sum(n) AS nn, sum(n * m) / sum(n) AS gm, count(*) AS k FROM g) "
        "SELECT (sum(n * pow(m - gm, 2)) / (k - 1)) / (sum(coalesce((n - 1) * v, 0)) / (nn - k)) AS f, "
        "k AS groups, CAST(nn AS BIGINT) AS n, k - 1 AS df_between, CAST(nn - k AS BIGINT) AS df_within "
-       "FROM g, t GROUP BY nn, gm, k", ['f']))
+       "FROM g, t GROUP BY nn, gm, k"), ['f']))
 def k10(spark, sf):
     return round_doubles(stats.anova(table(spark, sf, 'orders'), 'o_orderpriority', 'o_totalprice'))
 
@@ -142,10 +163,10 @@ def k11(spark, sf):
     return round_doubles(stats.bucket_median(table(spark, sf, 'lineitem'), 'l_quantity', _EDGES, 'l_extendedprice'))
 
 
-@query('k12_flag_effect', rnd("WITH d AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS f, l_extendedprice AS y "
+@query('k12_flag_effect', rnd(_with_t("WITH d AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS f, l_extendedprice AS y "
        "FROM lineitem) SELECT regr_r2(y, f) AS r2, regr_slope(y, f) AS slope, regr_intercept(y, f) AS intercept, "
        "CAST(regr_count(y, f) AS BIGINT) AS n, sign(regr_slope(y, f)) * sqrt(regr_r2(y, f) * (regr_count(y, f) - 2) / "
-       "(1 - regr_r2(y, f))) AS t FROM d", ['r2', 'slope', 'intercept', 't']))
+       "(1 - regr_r2(y, f))) AS t FROM d"), ['r2', 'slope', 'intercept', 't']))
 def k12(spark, sf):
     d = table(spark, sf, 'lineitem').select((F.col('l_returnflag') == 'R').cast('int').alias('f'),
                                             F.col('l_extendedprice').alias('y'))
@@ -225,14 +246,41 @@ def p2(spark, sf):
     return DS.describe_job(raw(spark, sf))
 
 
-@query('p3_eda_report', rnd(f"{W('feat')}, snap AS (SELECT property_type, CAST(round_even(price, 0) AS BIGINT) AS price "
-       f"FROM feat WHERE split = 'train' AND property_type IN {S.in_list(ED.MAJOR_CATEGORIES)}) " +
-       _K4.format(by='property_type', x='price', src='snap'), _K4_ROUND))
+def _p3_sql() -> str:
+    """All ten reports in SQL: the K queries' SQL turned to the snapshot's columns."""
+    swap = lambda name, src, col, by=None: (ORACLES[name].replace(src, '{src}').replace(col, 'price').replace(by or '\0', 'property_type'))
+    ctes = {
+        'central': swap('k1_central', 'lineitem', 'l_quantity').format(src='snap'),
+        'skew': swap('k2_skew', 'orders', 'o_totalprice').format(src='snap'),
+        'skew_compare': swap('k3_skew_compare', 'orders', 'o_totalprice').format(src='snap'),
+        'histogram': ORACLES['k6_histogram'].replace('events', 'pv'),
+        'kde': ORACLES['k7_kde'].replace('events', 'pv'),
+        'excluded_categories': f"SELECT property_type AS value, count(*) AS count FROM snap WHERE NOT (property_type IN {S.in_list(ED.MAJOR_CATEGORIES)}) GROUP BY 1",
+        'grouped_summary': _K4.format(by='property_type', x='price', src='major'),
+        'highest_median': 'SELECT property_type AS "group", median AS value FROM grouped_summary ORDER BY median DESC, property_type LIMIT 1',
+        'highest_spread': 'SELECT property_type AS "group", std AS value FROM grouped_summary ORDER BY std DESC, property_type LIMIT 1',
+        'box': swap('k8_box_stats', 'lineitem', 'l_extendedprice', 'l_returnflag').format(src='major'),
+    }
+    parts = []
+    for name, (item, numbers, texts) in ED.LONG.items():
+        key = f'CAST("{item.format(by="property_type")}" AS VARCHAR)' if item else 'CAST(NULL AS VARCHAR)'
+        parts += [f"SELECT '{name}' AS report, {key} AS item, '{m}' AS metric, CAST(\"{m}\" AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM r_{name}" for m in numbers]
+        parts += [f"SELECT '{name}', {key}, '{m}', CAST(NULL AS DOUBLE), \"{m}\" FROM r_{name}" for m in texts]
+    made = ", ".join(f"r_{name} AS ({sql.replace('FROM grouped_summary', 'FROM r_grouped_summary')})" for name, sql in ctes.items())
+    return (f"{W('feat')}, snap AS (SELECT property_type, CAST(round_even(price, 0) AS BIGINT) AS price FROM feat WHERE split = 'train'), "
+            "pv AS (SELECT CAST(price AS DOUBLE) AS value FROM snap), "
+            f"major AS (SELECT * FROM snap WHERE property_type IN {S.in_list(ED.MAJOR_CATEGORIES)}), {made} "
+            "SELECT report, item, metric, CASE WHEN abs(value) < 1 THEN round(value, 9) ELSE round(value, 6) END AS value, text FROM ("
+            + " UNION ALL ".join(parts) + ")")
+
+
+@query('p3_eda_report', _p3_sql())
 def p3(spark, sf):
-    """P3 on the EDA snapshot (A6 of the fixed-rule feature stage): price by major category."""
+    """P3 on the EDA snapshot (A6 of the fixed-rule feature stage): all ten reports."""
     from tableprep.sources import io
     snap = io.eda_snapshot(stage(spark, sf, 'feat'), PP.EDA_DROP + ['log_price'], 'price')
-    return round_doubles(ED.eda_report(snap)['grouped_summary'])
+    out = ED.eda_long(snap)
+    return out.withColumn('value', F.when(F.abs('value') < 1, F.round('value', 9)).otherwise(F.round('value', 6)))
 
 
 def _long_features(df, key: str, cols):
