@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tableprep import config as C
 from tableprep.functions import text as X
 from tableprep.operators.quantile import exact_quantiles
+from tableprep.session import materialize
 
 
 def _q(c: str) -> Column:
@@ -95,6 +96,7 @@ def iqr_table(df: DataFrame, cols, k: float = C.IQR_K) -> DataFrame:
 
     Quartiles are a fit of a row per column; the counts against the fences
     are one aggregate."""
+    df = materialize(df.select(*[_q(c) for c in cols]), 'iqr')  # what leads up to it runs once
     p = fit_iqr(df, cols, k)
     counts = []
     for i, c in enumerate(cols):

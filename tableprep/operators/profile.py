@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableprep.operators.quantile import exact_quantiles
+from tableprep.session import materialize
 
 
 def _long(row: DataFrame, names, value_cols: dict, name_col: str = 'column') -> DataFrame:
@@ -185,9 +186,10 @@ def describe_table(df: DataFrame, spec: dict) -> DataFrame:
     """
     from tableprep.functions.text import RULES
     labels = list(spec)
-    parsed = df.select(*[
+    # parsed once: the fits and the statistics read the numbers
+    parsed = materialize(df.select(*[
         (RULES[rule](F.col(f"`{c}`")) if isinstance(rule, str) else rule(F.col(f"`{c}`"))).alias(f"v{i}")
-        for i, (c, rule) in enumerate(spec.values())])
+        for i, (c, rule) in enumerate(spec.values())]), 'parsed')
     fitted = exact_quantiles(parsed, parsed.columns, [0.5, 0.25, 0.75])
     aggs = []
     for i in range(len(labels)):

@@ -1,12 +1,13 @@
 """Exact quantiles with linear interpolation (pandas/NumPy 'linear' method), in memory
 that doesn't follow the number of distinct values.
 
-Two scans serve all columns, groups and ranks together. The first takes a
-`percentile_approx` sketch per group, asked a little below and above each rank; its
-error is bounded, so the wanted rank lies between the two answers or right beside
-them. The second counts the values between them exactly, and only how many lie below.
-What one group's window orders is the distinct values between the two answers: about
-8 / ACCURACY of the group's rows at most, whatever the distribution.
+Three scans of the columns serve all columns, groups and ranks together, and no row is
+copied. The first takes a `percentile_approx` sketch per group and column, asked a little
+below and above each rank; its error is bounded, so the wanted rank lies between the two
+answers or right beside them. The second counts how many values lie below and above each
+pair of answers, and the values next to them. The third counts the values between them,
+which only rows that have such a value reach. What one group's window orders is those
+distinct values: about 8 / ACCURACY of the group's rows at most, whatever the distribution.
 """
 
 from __future__ import annotations
@@ -14,11 +15,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableprep.session import materialize
+
 #: Rank error of a sketch is one ACCURACY-th of its group's rows.
 ACCURACY = 100_000
 
-#: Groups whose fitted rows are broadcast; tables with more are joined without a hint.
-BROADCAST_GROUPS = 1_000
+#: Fitted rows that come through the driver; a longer table is written and read back.
+#: Either way Spark knows the table's bytes, and picks the join by them.
+READ_ROWS = 1_000
 
 
 def _q(c: str):
@@ -27,12 +31,11 @@ def _q(c: str):
 
 def join_fitted(df: DataFrame, fitted: DataFrame, by) -> DataFrame:
     """Inner join of rows to their group's fitted row, missing group values included.
-    The fitted table is read first, one row beyond BROADCAST_GROUPS at most: if it is
-    whole, it is broadcast, so that rows of a hot group stay where they are; if not,
-    Spark picks the join."""
-    head = fitted.limit(BROADCAST_GROUPS + 1).collect()
-    if len(head) <= BROADCAST_GROUPS:
-        fitted = F.broadcast(df.sparkSession.createDataFrame(head, fitted.schema))
+    The fitted table is worked out first, so that Spark joins by its true size: a small
+    one is broadcast and rows of a hot group stay where they are; beside a large one a
+    hot group's rows are split by AQE's skew join."""
+    head = fitted.limit(READ_ROWS + 1).collect()
+    fitted = df.sparkSession.createDataFrame(head, fitted.schema) if len(head) <= READ_ROWS else materialize(fitted, 'fitted')
     fitted = fitted.withColumnsRenamed({b: f"__on{i}" for i, b in enumerate(by)})
     cond = F.lit(True)
     for i, b in enumerate(by):
@@ -44,24 +47,41 @@ def quantile_table(df: DataFrame, by, cols, probs, accuracy: int = ACCURACY) ->
     """(*by, column, q): per group and column the array of exact quantiles over its
     non-missing values. Groups without any give no row."""
     by, cols, probs = list(by), list(cols), list(probs)
-    keys = [*[f"__k{i}" for i in range(len(by))], '__c']
-    cells = df.select(*[_q(b).alias(k) for b, k in zip(by, keys)], F.explode(F.array(*[
-        F.struct(F.lit(c).alias('__c'), _q(c).cast('double').alias('__v')) for c in cols])).alias('r')) \
-        .select(*keys[:-1], 'r.*').filter('__v IS NOT NULL')
+    groups = [f"__k{i}" for i in range(len(by))]
+    vs = [f"__v{i}" for i in range(len(cols))]
+    rows = df.select(*[_q(b).alias(k) for b, k in zip(by, groups)], *[_q(c).cast('double').alias(v) for c, v in zip(cols, vs)])
 
     aside = 4.0 / accuracy
     edges = [e for p in probs for e in (max(0.0, p - aside), min(1.0, p + aside))]
-    sketch = cells.groupBy(*keys).agg(F.percentile_approx('__v', edges, accuracy).alias('__e'))
-    around = join_fitted(cells, sketch, keys).select(*keys, '__v', F.explode(F.array(*[
-        F.struct(F.lit(i).alias('__i'), F.col('__e')[2 * i].alias('__lo'), F.col('__e')[2 * i + 1].alias('__hi'))
-        for i in range(len(probs))])).alias('r')).select(*keys, '__v', 'r.*')
-    side = F.when(F.col('__v') < F.col('__lo'), 0).when(F.col('__v') > F.col('__hi'), 2).otherwise(1)
+    sketch = rows.groupBy(*groups).agg(*[F.percentile_approx(v, edges, accuracy).alias(f"__e{i}") for i, v in enumerate(vs)])
+    if groups:
+        rows = join_fitted(rows, sketch, groups)
+        edge = lambda i, e: F.col(f"__e{i}")[e]
+    else:  # one row: its answers are literals
+        found = sketch.first()
+        edge = lambda i, e: F.lit(found[i][e] if found[i] else None).cast('double')
+    asked = [(i, j, F.col(v), edge(i, 2 * j), edge(i, 2 * j + 1)) for i, v in enumerate(vs) for j in range(len(probs))]
+
+    def cell(i, j, val, m):
+        return F.struct(F.lit(cols[i]).alias('__c'), F.lit(j).alias('__i'), val.alias('__val'), m.cast('long').alias('__m'))
+
     # values outside the answers are one cell a side; only the one next to them can be wanted
-    counted = around.withColumn('__side', side) \
-        .groupBy(*keys, '__i', '__side', F.when(F.col('__side') == 1, F.col('__v')).alias('__at')) \
-        .agg(F.count(F.lit(1)).alias('__m'), F.min('__v').alias('__least'), F.max('__v').alias('__most')) \
-        .withColumn('__val', F.when(F.col('__side') == 0, F.col('__most'))
-                    .when(F.col('__side') == 2, F.col('__least')).otherwise(F.col('__at')))
+    n = len(asked)
+    outside = rows.groupBy(*groups).agg(*[e for k, (_, _, v, lo, hi) in enumerate(asked) for e in (
+        F.count(F.when(v < lo, 1)).alias(f"__b{k}"), F.max(F.when(v < lo, v)).alias(f"__bv{k}"),
+        F.count(F.when(v > hi, 1)).alias(f"__a{k}"), F.min(F.when(v > hi, v)).alias(f"__av{k}"))])
+    outside = outside.select(*groups, F.explode(F.array(*[
+        cell(asked[k][0], asked[k][1], F.col(f"__{s}v{k}"), F.col(f"__{s}{k}")) for k in range(n) for s in 'ba'])).alias('r')) \
+        .select(*groups, 'r.*').filter('__m > 0')
+    hits = [(v >= lo) & (v <= hi) for _, _, v, lo, hi in asked]
+    some = hits[0]
+    for h in hits[1:]:
+        some = some | h
+    inside = rows.filter(some).select(*groups, F.explode(F.array_compact(F.array(*[
+        F.when(h, F.struct(F.lit(cols[i]).alias('__c'), F.lit(j).alias('__i'), v.alias('__val'))) for h, (i, j, v, _, _) in zip(hits, asked)]))).alias('r')) \
+        .select(*groups, 'r.*').groupBy(*groups, '__c', '__i', '__val').agg(F.count(F.lit(1)).alias('__m'))
+    counted = outside.unionByName(inside)
+    keys = [*groups, '__c']
     rank = Window.partitionBy(*keys, '__i')
     ranked = counted.withColumn('__up', F.sum('__m').over(rank.orderBy('__val'))) \
         .withColumn('__n', F.sum('__m').over(rank))
