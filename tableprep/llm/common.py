@@ -23,6 +23,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns beside ``df``'s own, which are compared without case:
+    those given, with as many underscores in front as it takes."""
+    used, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in used:
+            n = f"_{n}"
+        used.add(n.lower())
+        out.append(n)
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

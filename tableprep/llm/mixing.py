@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableprep.llm.common import stage, with_rank
+from tableprep.llm.common import fresh, stage, with_rank
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -111,14 +111,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies say, columns as
-    they are. Rows that agree in id and text are numbered, so each gets its own."""
-    w = Window.partitionBy(F.col("__id"), F.col("__key")).orderBy("__order")
+    they are, whatever their names. Rows that agree in id and text are numbered, so each
+    gets its own. Null ids, texts and sources are values like others; no rows give none."""
+    i, key, order, m, copies, copy, i2, key2, n = fresh(docs, "__id", "__key", "__order", "__m", "__copies", "__copy", "__id2", "__key2", "__n")
     taken = (mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
-             .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("copies").alias("__copies"), F.struct("source", "copies").alias("__order"))
-             .withColumn("__n", F.row_number().over(w)).withColumnsRenamed({"__id": "__id2", "__key": "__key2"}).drop("__order"))
-    rows = docs.withColumn("__id", F.col(id_col)).withColumn("__key", F.xxhash64(text_col)).withColumn("__order", F.struct(F.col(source_col).cast("string")))
-    rows = rows.withColumn("__m", F.row_number().over(w))
-    # equal numbers as two inequalities, so that id and key alone are the join's keys, as they are the window's
-    on = F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__key") == F.col("__key2")) & (F.col("__m") <= F.col("__n")) & (F.col("__m") >= F.col("__n"))
-    out = rows.join(taken.where("__copies >= 0"), on).withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__copies"))))
-    return out.where("__copy > 0").select(*docs.columns)
+             .select(F.col("doc_id").alias(i2), F.col("text_key").alias(key2), F.col("copies").alias(copies), F.struct("source", "copies").alias(order))
+             .withColumn(n, F.row_number().over(Window.partitionBy(i2, key2).orderBy(order))).drop(order))
+    rows = docs.withColumns({i: F.col(id_col), key: F.xxhash64(text_col), order: F.struct(F.col(source_col).cast("string"))})
+    rows = rows.withColumn(m, F.row_number().over(Window.partitionBy(i, key).orderBy(order)))
+    on = F.col(i).eqNullSafe(F.col(i2)) & (F.col(key) == F.col(key2)) & (F.col(m) == F.col(n))
+    out = rows.join(taken, on).where(F.col(copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return out.select(*docs.columns)

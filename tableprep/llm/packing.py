@@ -78,28 +78,74 @@ def _shares(sizes: np.ndarray, demand: np.ndarray, room: int) -> np.ndarray:
     return max([halves, *each], key=lambda v: float(v @ demand))
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 1e-7, gap: float = 1e-4, columns: int = 64) -> list[tuple[np.ndarray, float]]:
+class _Inverse:
+    """The basis' inverse as a dense matrix less a product of HELD rank-one updates, which
+    are multiplied in together: a pivot costs HELD * m steps in place of m * m."""
+
+    HELD = 48
+
+    def __init__(self, matrix: np.ndarray):
+        self.matrix, m = matrix, len(matrix)
+        self.left, self.right, self.k = np.empty((m, self.HELD)), np.empty((self.HELD, m)), 0
+
+    def times(self, has: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The inverse times a pattern."""
+        out = self.matrix[:, has] @ counts
+        return out - self.left[:, :self.k] @ (self.right[:self.k, has] @ counts) if self.k else out
+
+    def pivot(self, r: int, d: np.ndarray) -> np.ndarray:
+        """Puts the pattern with times() ``d`` in place ``r``; the new row ``r``."""
+        row = (self.matrix[r] - self.left[r, :self.k] @ self.right[:self.k]) / d[r]
+        self.left[:, self.k], self.right[self.k] = d, row
+        self.left[r, self.k] -= 1
+        self.k += 1
+        if self.k == self.HELD:
+            self.whole()
+        return row
+
+    def sums(self) -> np.ndarray:
+        """The columns' sums."""
+        out = self.matrix.sum(0)
+        return out - self.left[:, :self.k].sum(0) @ self.right[:self.k] if self.k else out
+
+    def whole(self) -> np.ndarray:
+        if self.k:
+            self.matrix -= self.left[:, :self.k] @ self.right[:self.k]
+            self.k = 0
+        return self.matrix
+
+
+#: Knapsacks of one plan at most, which bounds its pivots too. After them the basis so far
+#: is rounded, as it may be at any time: the plan holds every rest, only its padding may
+#: be more than ``gap`` above the least.
+KNAPSACKS = 600
+
+
+def solve(sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 1e-7, gap: float = 1e-4, columns: int = 64,
+          most: int = KNAPSACKS, told: dict | None = None) -> list[tuple[np.ndarray, float]]:
     """Column generation for: least number of patterns that cover ``demand``. The basis
     starts with one pattern per size (as many of it as fit), then takes first-fit
     patterns that are worth more than 1. Each knapsack, whose values lean towards the
     best lower bound's (first that of _shares()), gives up to ``columns``
-    patterns; the inverse is updated at each pivot and worked out anew every 500. It
+    patterns; the inverse is updated at each pivot and worked out anew every 2,000. It
     ends when no pattern is worth more than 1, or when the value is within ``gap`` of a
-    proven lower bound, or within half a sequence of the whole number that the ids fill. Returns (pattern, times) of the basis."""
+    proven lower bound, or within half a sequence of the whole number that the ids fill,
+    or after ``most`` knapsacks. Returns (pattern, times) of the basis; ``told`` gets the
+    proven lower bound."""
     m = len(sizes)
     basis = np.diag((room // sizes).astype(float))
-    inverse = np.diag(1 / (room // sizes))
+    inverse = _Inverse(np.diag(1 / (room // sizes)))
     # a little more of each size, in uneven steps, so that pivots don't tie and go round
     uneven = demand + 0.1 * (1 + np.arange(m) * 0.6180339887 % 1)
     x = uneven / (room // sizes)
-    dual, pivots = inverse.sum(0), 0
+    dual, pivots = inverse.sums(), 0
 
     def enter(has: np.ndarray, counts: np.ndarray) -> bool:
         nonlocal inverse, x, dual, pivots
         gain = dual[has] @ counts
         if gain <= 1 + tolerance:
             return False
-        d = inverse[:, has] @ counts
+        d = inverse.times(has, counts)
         ok = d > 1e-9 * max(1.0, float(np.abs(d).max()))
         ratio = np.where(ok, x / np.where(ok, d, 1), np.inf)
         r = int(np.where(ratio <= ratio.min() * (1 + 1e-9) + 1e-12, d, -np.inf).argmax())
@@ -109,15 +155,12 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 1
         basis[:, r] = 0
         basis[has, r] = counts
         pivots += 1
-        if pivots % 500 == 0:
-            inverse = np.linalg.inv(basis)
-            x = np.maximum(inverse @ uneven, 0)
-            dual = inverse.sum(0)
+        row = inverse.pivot(r, d)
+        if pivots % 2000 == 0:
+            inverse = _Inverse(np.linalg.inv(basis))
+            x = np.maximum(inverse.matrix @ uneven, 0)
+            dual = inverse.matrix.sum(0)
         else:
-            row = inverse[r] / d[r]
-            at, to = np.flatnonzero(np.abs(d) > 1e-14), np.flatnonzero(row)
-            inverse[np.ix_(at, to)] -= np.outer(d[at], row[to])
-            inverse[r] = row
             dual = dual - (gain - 1) * row
         return True
 
@@ -125,7 +168,9 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 1
         enter(np.array(list(pattern)), np.array(list(pattern.values()), float))
     enough, even, lean = np.ceil(float(sizes @ demand) / room - 1e-9), _shares(sizes, demand, room), 0.5
     bound = float(even @ demand)
-    while (dual := inverse.sum(0)) @ demand > max(enough + max(gap * enough, 0.5), bound * (1 + gap)):
+    for _ in range(most):
+        if (dual := inverse.sums()) @ demand <= max(enough + max(gap * enough, 0.5), bound * (1 + gap)):
+            break
         value = lean * even + (1 - lean) * dual
         best, item = _price(value, sizes, room)
         gains = value + best[room - sizes]
@@ -140,7 +185,9 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 1
             if not lean:
                 break
             lean = lean / 2 if lean > 0.1 else 0.0
-    x = inverse @ demand
+    if told is not None:
+        told["bound"] = max(bound, float(sizes @ demand) / room)
+    x = inverse.whole() @ demand
     return [(basis[:, j].astype(np.int64), float(x[j])) for j in range(m) if x[j] > 1e-9]
 
 

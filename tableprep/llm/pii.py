@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableprep.llm.common import slices, stage
+from tableprep.llm.common import fresh, slices, stage
 
 KINDS = ("email", "ip", "card", "phone")
 # Fixed patterns (the contract's own).
@@ -202,21 +202,23 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span of base and found kinds in ``text_col`` replaced by
     [KIND]; where spans overlap, one mark stands for their union, named after the
-    first. Other columns, rows without spans and null texts stay as they are."""
+    first. Other columns, whatever their names, rows without spans and null texts stay as
+    they are; an empty table stays empty."""
+    doc, md5, cuts = fresh(docs, "__doc", "__md5", "__spans")
     scanned = stage(scan(docs, id_col, text_col), "pii-scan")
     extra = found_spans(scanned, *bootstrap(scanned))
     spans = (scanned.where(F.size("base") > 0).select("doc_id", "text_md5", "base").distinct()
              .join(extra.withColumnRenamed("doc_id", "__d").withColumnRenamed("text_md5", "__m"),
                    F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_md5") == F.col("__m")), "full")
-             .select(F.coalesce("doc_id", "__d").alias("__doc"), F.coalesce("text_md5", "__m").alias("__md5"),
-                     F.sort_array(F.concat(*[F.coalesce(F.col(c), F.array().cast("array<struct<start:int,kind:string,end:int>>")) for c in ("base", "extra")])).alias("__spans")))
+             .select(F.coalesce("doc_id", "__d").alias(doc), F.coalesce("text_md5", "__m").alias(md5),
+                     F.sort_array(F.concat(*[F.coalesce(F.col(c), F.array().cast("array<struct<start:int,kind:string,end:int>>")) for c in ("base", "extra")])).alias(cuts)))
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([_cut(t, s) for t, s in zip(text, spans, strict=True)], dtype=object)
 
-    on = docs[id_col].eqNullSafe(spans["__doc"]) & (F.md5(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == spans["__md5"])
-    new = cut(docs[text_col].cast("string"), F.col("__spans"))
+    on = docs[id_col].eqNullSafe(spans[doc]) & (F.md5(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == spans[md5])
+    new = cut(docs[text_col].cast("string"), F.col(cuts))
     return docs.join(spans, on, "left").select(*[new.alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 

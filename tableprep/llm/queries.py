@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,18 +46,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def digest(kinds, base: list, extra: list):
-        text = lambda spans: ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in spans)
-        order = {k: i for i, k in enumerate([*kinds, *(f"context_{k}" for k in kinds)])}
-        both = sorted([*base, *extra], key=lambda s: (s["start"], order[s["kind"]], s["end"]))
-        return [*[sum(s["kind"] == k for s in base) for k in kinds], hashlib.sha256(text(base).encode()).hexdigest(), text(both)]
-
-    @F.udf("struct<n_email:long,n_ip:long,n_card:long,n_phone:long,base_sha256:string,spans:string>")
-    def columns(base, extra):
-        return tuple(digest(pii.KINDS, base, extra))
-
-    found = pii.extract(documents(spark, sf_dir))
-    return found.select("doc_id", columns("base", "extra").alias("c"), F.size("extra").cast("long").alias("n_context")).select("doc_id", "c.*", "n_context")
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    order = F.create_map(*[F.lit(x) for k, kind in enumerate([*pii.KINDS, *(f"context_{k}" for k in pii.KINDS)]) for x in (kind, k)])
+    both = F.array_sort(F.transform(F.concat("base", "extra"), lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("k"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return pii.extract(documents(spark, sf_dir)).select(
+        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(text(F.col("base")), 256).alias("base_sha256"), text(both).alias("spans"), F.size("extra").cast("long").alias("n_context"))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

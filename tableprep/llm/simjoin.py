@@ -1,7 +1,8 @@
 """N-gram Jaccard join with set-relation skipping (operator 10).
 
 Sets are the distinct word shingles of whole texts. Equal sets are one class. The
-join follows set-relation skipping (Wang et al. 2017):
+join takes set-relation skipping (Wang et al. 2017) as far as a hub's answers: see the
+README for what differs.
 
 1.  Prefix index. Shingles with a hash in the least ``REGION`` of the hash space are
     counted exactly and ordered rarest first; all others come after them by hash.
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableprep.llm.common import components, slices, stage
+from tableprep.llm.common import components, fresh, slices, stage
 
 N, NUM, DEN = 4, 85, 100
 
@@ -158,6 +159,13 @@ def similar_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN,
     words have no shingles and link with nothing; a null id is no component's name (a
     component of null ids only has a null one). Rows with equal texts always link, so
     rows that repeat an id are rows of their own. An empty table gives no rows."""
+    sig, full, named = _components(docs, n, num, den, region, id_col, text_col)
+    out = full.join(named, ["key", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return out.unionByName(sig.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def _components(docs: DataFrame, n: int, num: int, den: int, region: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """signatures(), those of them with shingles, and each class's (key, n, root, component_id)."""
     sig = stage(signatures(docs, n, num, den, region, id_col, text_col), "join-sets")
     full = sig.where("n > 0")
     # one class for equal sets; its text is that of one of its rows
@@ -215,9 +223,7 @@ def similar_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN,
     # classes to components, components to their smallest id
     c = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     names = c.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = c.join(names, "root").select("key", "n", "component_id")
-    out = full.join(named, ["key", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(sig.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    return sig, full, c.join(names, "root").select("key", "n", "root", "component_id")
 
 
 def _rest(entries: DataFrame, near: DataFrame, roots: DataFrame, num: int, den: int, share: int) -> DataFrame:
@@ -279,13 +285,21 @@ def _texts(docs: DataFrame, sig: DataFrame, wanted: DataFrame, id_col: str, text
     return found.select("cid", "text").dropDuplicates(["cid"])
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each group of similar_groups(): the one with the
-    smallest id. Of rows that repeat both id and text one stays; rows with a null id
-    and with an empty set stay. Columns are as in ``docs``."""
-    groups = similar_groups(docs, id_col=id_col, text_col=text_col, **how)
-    dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__drop")).distinct()
-    left = docs.join(dropped, docs[id_col] == F.col("__drop"), "left_anti")
-    w = Window.partitionBy(id_col, text_col).orderBy(F.lit(1))
-    first = left.withColumn("__r", F.row_number().over(w)).where((F.col("__r") == 1) | F.col(id_col).isNull())
-    return first.select(*docs.columns)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, num: int = NUM, den: int = DEN, region: float = REGION) -> DataFrame:
+    """``docs`` with one row of each group of similar_groups(): the one with the smallest
+    id, null after all others, equal ids by a hash of the text. Rows that repeat both id
+    and text count as one; a row whose id another row has as well stays or goes by its
+    own text. Rows without words are in no group and all stay. Columns are as in
+    ``docs``, whatever their names; an empty table stays empty."""
+    _, full, named = _components(docs, n, num, den, region, id_col, text_col)
+    rows = full.join(named.select("key", "n", "root"), ["key", "n"]).select("root", "doc_id", "text_hash").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    best = rows.groupBy("root").agg(F.min(order).alias("best"))
+    at, h, drop_id, drop_h = fresh(docs, "__at", "__hash", "__drop_id", "__drop_hash")
+    dropped = stage(rows.join(best, "root").where(order != F.col("best")).select(F.col("doc_id").alias(drop_id), F.col("text_hash").alias(drop_h)), "join-dropped")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    worded = text.rlike(r"[^\x20\x09-\x0D]")
+    mine = docs.where(worded).withColumns({at: F.col(f"`{id_col}`").cast("long"), h: F.xxhash64(text)})
+    left = mine.join(dropped, mine[at].eqNullSafe(dropped[drop_id]) & (mine[h] == dropped[drop_h]), "left_anti")
+    once = left.dropDuplicates([at, h])
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(~worded))
