@@ -1,5 +1,11 @@
 """From documents to packed training sequences: each stage takes what the one before
-kept, written as Parquet and read again."""
+kept, written as Parquet and read again.
+
+Null and empty texts pass toxicity, the join (they are in no group), redaction and the mix
+(size 0, copies by its rule) and are packed as their end id. Rows that repeat an id are
+documents of their own throughout, those that repeat id and text are one after the join;
+null ids stay null. An empty table gives an empty table at every stage. Further columns,
+whatever their names, stay until packing, which returns pieces."""
 
 from __future__ import annotations
 
