@@ -27,7 +27,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of the n-gram Jaccard join: stages on word shingles
     take five words and a similarity of 0.8 or more."""
-    return simjoin.keep_one(docs, n=5, num=80, den=100, region=0.25)
+    return simjoin.keep_one(docs, n=5, num=80, den=100)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
