@@ -553,7 +553,7 @@ def test_join_of_families_and_shared_passages(spark, n, num):
             k += 1
     rows += [(2000 + i, t, "a") for i, t in enumerate(["a b", "A  b", "a b c", "a", "a", ""])]
     df = made(spark, rows)
-    got = collections.Counter(tuple(r) for r in simjoin.similar_groups(df, n=n, num=num, region=1.05 - num / 100).collect())
+    got = collections.Counter(tuple(r) for r in simjoin.similar_groups(df, n=n, num=num).collect())
     assert got == brute_groups([(i, t) for i, t, _ in rows], n, num)
 
 
