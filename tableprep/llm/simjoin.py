@@ -17,7 +17,8 @@ Sets are the distinct word shingles of whole texts. Equal sets are one class.
     of the text that others were copied from are, is compared exactly with all others
     that are not yet in its component. What links is joined into components, and
     blocks of one component drop out. Rounds go on, with twice as many hubs in each,
-    until the pairs left are no more than the index had entries.
+    until the pairs of what is outside a block's largest component with the block's
+    entries are no more than FEW for each entry of the index.
 5.  Answers from a similar set. The pairs left are answered from those of their block's
     first hub h where these suffice: |x & h| + |y & h| - |h| <= |x & y|, and |x & y| <=
     |y & h| + |x - h|, and the same with x and y changed. Only what both bounds leave
@@ -42,6 +43,10 @@ N, NUM, DEN = 4, 85, 100
 #: the memory of the tasks that count. They change no results.
 SLICE, PART, GROUP = 8_000_000, 4_000_000, 64
 
+#: Pairs of entries for each entry of the index from which on they are looked at one by
+#: one instead of hub by hub. It moves pairs from one exact way to the other, no results.
+FEW = 100
+
 #: Size blocks for each factor NUM / DEN of size.
 BLOCKS = 4
 
@@ -293,15 +298,17 @@ def _components(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_c
     index = prefix_index(made.where("part is not null"), 1 + size // (SLICE * GROUP), num, den)
     index = index.join(classes.select("cid"), "cid", "left_semi")
     entries = stage(_alive(_blocks(index, num, den), None).drop("root"), "join-index")
-    budget = entries.count()
+    budget = FEW * entries.count()
     texts = stage(_texts(docs, sig, entries.select("cid").distinct(), id_col, text_col), "join-texts")
 
     # hubs against the others of their blocks, until few pairs are left
-    roots = stage(classes.select(F.col("cid").alias("node"), F.col("cid").alias("root")).limit(0), "join-roots")
+    roots = docs.sparkSession.createDataFrame([], "node long, root long")
     tested, centre, hubs = None, None, 1
     while True:
         alive = stage(_alive(entries, roots), "join-alive")
-        left = alive.groupBy("token", "block").count().agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0]
+        sizes = alive.groupBy("token", "block", "root").count()
+        whole = sizes.groupBy("token", "block").agg(F.sum("count").alias("all"), F.max(F.struct("count", "root")).alias("most"))
+        left = whole.agg(F.sum((F.col("all") - F.col("most.count")) * F.col("all"))).first()[0]
         if tested is not None and (left or 0) <= budget:
             break
         slot = F.pmod(F.xxhash64("cid"), F.lit(hubs)).alias("slot")
@@ -320,15 +327,19 @@ def _components(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_c
         entries = alive.drop("root").join(hub.select("token", "block", F.col("h_cid").alias("cid")), ["token", "block", "cid"], "left_anti")
         hubs *= 2
 
-    # the rest: answers from those of the first hub of the block, else compared
-    side = (alive.join(centre, ["token", "block"]).join(tested.select(F.col("x").alias("h"), F.col("y").alias("cid"), F.col("nx").alias("hn"), F.col("overlap").alias("o")), ["h", "cid"], "left")
-            .select("token", "block", "cid", "n", "pos", "low", "root", "hn", "o"))
+    # the rest, what is outside its block's largest component against all: answers from
+    # those of the first hub of the block, else compared
+    side = (alive.join(whole.select("token", "block", F.col("most.root").alias("main")), ["token", "block"])
+            .withColumn("outside", F.col("root") != F.col("main")).drop("main").join(centre, ["token", "block"])
+            .join(tested.select(F.col("x").alias("h"), F.col("y").alias("cid"), F.col("nx").alias("hn"), F.col("overlap").alias("o")), ["h", "cid"], "left")
+            .select("token", "block", "cid", "n", "pos", "low", "root", "hn", "o", "outside"))
     side = stage(side, "join-rest")
-    a, b = (side.withColumnsRenamed({c: f"{p}{c}" for c in ("cid", "n", "pos", "low", "root", "hn", "o")}) for p in ("a_", "b_"))
+    a, b = (side.withColumnsRenamed({c: f"{p}{c}" for c in ("cid", "n", "pos", "low", "root", "hn", "o", "outside")}) for p in ("a_", "b_"))
     most = F.least(F.col("b_o") + F.col("a_n") - F.col("a_o"), F.col("a_o") + F.col("b_n") - F.col("b_o"))
     sure = F.col("a_o") + F.col("b_o") - F.col("a_hn")
     enough = lambda o: o * (num + den) >= (F.col("a_n") + F.col("b_n")) * num
-    met = a.join(b, ["token", "block"]).where((F.col("a_cid") < F.col("b_cid")) & _may_link("a_", "b_", num, den) & F.coalesce(enough(most), F.lit(True)))
+    once = ~F.col("b_outside") | (F.col("a_cid") < F.col("b_cid"))
+    met = a.where("a_outside").join(b, ["token", "block"]).where(once & _may_link("a_", "b_", num, den) & F.coalesce(enough(most), F.lit(True)))
     met = stage(met.groupBy(F.col("a_cid").alias("x"), F.col("b_cid").alias("y")).agg(F.max(F.coalesce(enough(sure), F.lit(False))).alias("sure")), "join-pairs")
     known = stage(compare(met.where("not sure").select("x", "y"), texts, n), "join-tested").where(links(num, den)).select("x", "y")
     roots = _linked(roots, known.unionByName(met.where("sure").select("x", "y")))
