@@ -15,7 +15,7 @@ import re
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableprep.llm.common import fresh, slices, stage
@@ -30,7 +30,9 @@ LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ012345678
 TOKEN = re.compile(r"[0-9@]")
 
 #: A pattern needs this many distinct known instances, this confidence; an instance this score.
-SUPPORT, CONFIDENCE, SCORE, ROUNDS = 3, 0.6, 0.8, 4
+SUPPORT, CONFIDENCE, SCORE = 3, 0.6, 0.8
+#: Longest context word.
+WORD = 40
 
 
 def _luhn(digits: str) -> bool:
@@ -78,20 +80,42 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return [(s, KINDS[k], e) for s, k, e in sorted(found)]
 
 
-def _word(w: str) -> str:
-    """A context word: lower case, digits as 0, edge punctuation off, long ones as one."""
-    w = re.sub(r"[0-9]", "0", w.lower())
-    return w if len(w) <= 40 else "<long>"
+def _before(text: str, pos: int) -> tuple[str, int]:
+    """The word that ends at ``pos`` or before the blanks there, and its start; of a word
+    longer than WORD its last WORD + 1 characters."""
+    while pos > 0 and text[pos - 1].isspace():
+        pos -= 1
+    start = pos
+    while start > 0 and pos - start <= WORD and not text[start - 1].isspace():
+        start -= 1
+    return text[start:pos], start
+
+
+def _after(text: str, pos: int) -> str:
+    """The word that begins at ``pos`` or after the blanks there, cut as in _before()."""
+    while pos < len(text) and text[pos].isspace():
+        pos += 1
+    end = pos
+    while end < len(text) and end - pos <= WORD and not text[end].isspace():
+        end += 1
+    return text[pos:end]
 
 
 def _patterns(text: str, start: int, end: int) -> list[str]:
-    left = [_word(w) for w in text[max(0, start - 200):start].split()[-2:]]
-    right = [_word(w) for w in text[end:end + 200].split()[:1]]
+    """The word on the left, the two words on the left, the word on the right, and the
+    words on both sides; lower case, digits as 0. A word longer than WORD is in none."""
+    near, at = _before(text, start)
+    far = _before(text, at)[0] if len(near) <= WORD else ""
+    near, far, right = (re.sub(r"[0-9]", "0", w.lower()) if len(w) <= WORD else "" for w in (near, far, _after(text, end)))
     out = []
-    if len(left) == 2:
-        out.append("L2 " + " ".join(left))
-    if left and right:
-        out.append(f"LR {left[-1]} _ {right[0]}")
+    if near:
+        out.append(f"L {near}")
+    if near and far:
+        out.append(f"L2 {far} {near}")
+    if right:
+        out.append(f"R {right}")
+    if near and right:
+        out.append(f"LR {near} _ {right}")
     return out
 
 
@@ -144,37 +168,48 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         mentions array<struct<start:int,end:int,instance:string,kind:string,patterns:array<string>>>""")
 
 
-def bootstrap(scanned: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, score: float = SCORE,
-              rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """Scores the graph of patterns and instances; returns the accepted patterns
-    (pattern, kind, confidence) and instances (instance, kind, score).
+def bootstrap(scanned: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, score: float = SCORE) -> tuple[DataFrame, DataFrame]:
+    """Scores the graph of patterns and instances until nothing changes; returns the
+    accepted patterns (pattern, kind, confidence) and instances (instance, kind, score).
 
     An edge counts once however often it occurs, so copies of a text don't lend
     weight. A pattern's confidence for a kind is the sum of its instances' scores
     over one more than their number; an instance that isn't a seed scores
     1 - product(1 - confidence) over its accepted patterns. Both are aggregates with
-    partial sums, so a pattern that a third of all instances share is no hot group."""
+    partial sums, so a pattern that a third of all instances share is no hot group.
+    Confidences and scores are whole percent and summed as integers: they never fall
+    from one turn to the next, so the turns end, at the same values in every run. Patterns
+    of fewer than ``support`` instances can't be accepted and are left out at once."""
     m = scanned.select(F.explode("mentions").alias("m")).select("m.instance", "m.kind", F.explode("m.patterns").alias("pattern"))
-    edges = stage(m.groupBy("pattern", "instance").agg(F.min("kind").alias("seed")), "pii-edges")
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    seeds = edges.where("seed is not null").select("instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
-    known, patterns, before = seeds, None, -1
-    for _ in range(rounds):
-        held = edges.join(known, "instance").groupBy("pattern", "kind").agg(
-            F.sum("score").alias("weight"), F.count(F.when(F.col("score") >= score, 1)).alias("support"))
-        patterns = stage(held.join(sizes, "pattern").withColumn("confidence", F.col("weight") / (F.col("n") + 1))
-                         .where((F.col("support") >= support) & (F.col("confidence") >= confidence)).select("pattern", "kind", "confidence"), "pii-patterns")
-        fresh = (edges.where("seed is null").join(patterns, "pattern").groupBy("instance", "kind")
-                 .agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score")))
-        known = stage(seeds.unionByName(fresh), "pii-known")
-        now = known.count()
-        if now == before:
+    every = stage(m.groupBy("pattern", "instance").agg(F.min("kind").alias("seed")), "pii-edges")
+    sizes = every.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
+    seeds = stage(every.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct(), "pii-seeds")
+    edges = every.join(sizes, "pattern").select("pattern", "instance", "n")
+    held = edges.join(seeds, "instance").groupBy("pattern", "n", "kind").agg((100 * F.count(F.lit(1))).alias("weight"), F.count(F.lit(1)).alias("support"))
+    seeded = stage(held, "pii-seeded")  # what the seeds give each pattern, the same in every turn
+    edges = stage(edges.join(seeds.select("instance").distinct(), "instance", "left_anti"), "pii-open")
+
+    def accepted(more: DataFrame | None) -> DataFrame:
+        every = seeded if more is None else seeded.unionByName(more)
+        return (every.groupBy("pattern", "kind").agg(F.sum("weight").alias("weight"), F.sum("support").alias("support"), F.first("n").alias("n"))
+                .withColumn("percent", F.expr("weight div (n + 1)"))
+                .where((F.col("support") >= support) & (F.col("percent") >= round(100 * confidence))).select("pattern", "kind", "percent"))
+
+    more, before = None, (0, 0)
+    while True:
+        patterns = stage(accepted(more), "pii-patterns")
+        odds = F.sum(F.round(-F.log(1 - F.col("percent") / 100) * 1e6).cast("long"))
+        known = stage(edges.join(patterns, "pattern").groupBy("instance", "kind").agg(odds.alias("odds"))
+                      .select("instance", "kind", F.round(100 * (1 - F.exp(F.col("odds") / -1e6))).cast("long").alias("percent")), "pii-known")
+        now = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("percent"), F.lit(0))).first()
+        if tuple(now) == before:  # no row and no score is ever lost, so equal sums are equal tables
             break
-        before = now
-    best = Window.partitionBy("instance").orderBy(F.desc("score"), "kind")
-    found = (known.join(seeds.select("instance").distinct(), "instance", "left_anti").where(F.col("score") >= score)
-             .withColumn("r", F.row_number().over(best)).where("r = 1").select("instance", "kind", "score"))
-    return patterns, found
+        before = tuple(now)
+        more = edges.join(known, "instance").groupBy("pattern", "n", "kind").agg(
+            F.sum("percent").alias("weight"), F.count(F.when(F.col("percent") >= round(100 * score), 1)).alias("support"))
+    best = known.groupBy("instance").agg(F.min(F.struct((-F.col("percent")).alias("down"), F.col("kind"))).alias("b"))
+    found = best.where(F.col("b.down") <= -round(100 * score)).select("instance", "b.kind", (F.col("b.down") / -100).alias("score"))
+    return patterns.select("pattern", "kind", (F.col("percent") / 100).alias("confidence")), found
 
 
 def found_spans(scanned: DataFrame, patterns: DataFrame, found: DataFrame) -> DataFrame:

@@ -291,6 +291,65 @@ def test_context_finds_unseen_identifiers_and_leaves_others(spark):
     assert cut[50] == "please write to box [EMAIL] for help now" and cut[0] == "then write to box [EMAIL] for help" and cut[51] == rows[9][1]
 
 
+def test_one_cue_word_with_varying_neighbours_is_enough(spark):
+    rows = [(i, f"w{'abcdefgh'[i]}x phone: +1 555 010 77{i}{i} {'stuvwxyz'[i]}end", "a") for i in range(8)]
+    rows += [(20, "new one phone: 555-0199 tomorrow", "a"), (21, "room 555-0199 tomorrow", "a")]
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["extra"]] for r in pii.extract(made(spark, rows)).collect()}
+    assert got.pop(20) == [("context_phone", 15, 23)] and not any(got.values())
+
+
+def brute_bootstrap(rows, support=3, confidence=60, score=80):
+    """The same fixed point over Python sets."""
+    edges, seeds = {}, {}
+    for t in rows:
+        for _, _, inst, kind, pats in pii.mentions(t, pii.base_spans(t)):
+            for p in pats:
+                edges.setdefault(p, set()).add(inst)
+                if kind:
+                    seeds.setdefault(inst, set()).add(kind)
+    known = {}
+    while True:
+        got = {}
+        for p, insts in edges.items():
+            for kind in pii.KINDS:
+                s = [100 if kind in seeds.get(i, ()) else known.get((i, kind), 0) for i in insts]
+                if sum(x >= score for x in s) >= support and (c := sum(s) // (len(insts) + 1)) >= confidence:
+                    got[p, kind] = c
+        odds = {}
+        for (p, kind), c in got.items():
+            for i in edges[p] - set(seeds):
+                odds[i, kind] = odds.get((i, kind), 0) + round(-math.log(1 - c / 100) * 1e6)
+        new = {k: round(100 * (1 - math.exp(o / -1e6))) for k, o in odds.items()}
+        if new == known:
+            return {k: c / 100 for k, c in got.items()}, known
+        known = new
+
+
+def test_bootstrap_reaches_the_fixed_point(spark):
+    # each family's cue is learnt from instances that the family before it gave
+    rows = [f"z{i} cue m{i}@mail.example.com" for i in range(300)]
+    sizes = [30, 10, 4]
+    for f, n in enumerate(sizes):
+        cue = ["cue", "cuea", "cueb"]
+        rows += [f"z{i} {cue[f]} id{f}x{i}" for i in range(n)] + [f"z{i} {c} id{f}x{i}" for c in cue[f + 1:f + 2] for i in range(n)]
+    rows += ["nothing 12 here", "", "seen 2024 twice 2024"]
+    patterns, found = pii.bootstrap(pii.scan(made(spark, [(i, t, "a") for i, t in enumerate(rows)])))
+    want, known = brute_bootstrap(rows)
+    assert {(r["pattern"], r["kind"]): r["confidence"] for r in patterns.collect()} == pytest.approx(want) and want
+    best = {}
+    for (i, kind), s in known.items():
+        if s >= 80:
+            best[i] = min(best.get(i, (0, "")), (-s, kind))
+    assert {r["instance"]: (r["kind"], r["score"]) for r in found.collect()} == {i: (k, -s / 100) for i, (s, k) in best.items()} and best
+
+
+def test_context_words_are_found_whole():
+    t = "cue" + " " * 500 + "id7" + " " * 500 + "next"
+    assert pii._patterns(t, 503, 506) == ["L cue", "R next", "LR cue _ next"]
+    assert pii._patterns("far " + "x" * 41 + " id7 " + "y" * 41, 46, 49) == []
+    assert pii._patterns("x" * 41 + " near id7", 47, 50) == ["L near"]
+
+
 def test_redaction_keeps_rows_and_columns(spark, hard, empty):
     out = pii.redact(hard)
     assert out.columns == hard.columns and out.count() == len(HARD)
