@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableprep.functions import text as X
-from tableprep.operators import dedup, extract, outliers
+from tableprep.operators import dedup, extract, outliers, profile
 from tableprep.plans import prepare as PP
 from tableprep.sources.fixtures import LISTING_COLUMNS
 
@@ -91,3 +91,11 @@ def test_lists_are_parsed_once(spark, monkeypatch):
     assert len(calls) == 1 and p.params['multi_hot'].vocabulary == ('Pool', 'Sauna')
     assert PP.ITEMS not in p.data.columns + p.eda.columns + p.scaled.columns
     assert p.data.select(F.sum('Has_Sauna')).first()[0] == 20 and p.reports['unseen_facilities'].count() == 0
+
+
+def test_whole_rows_are_compared_only_where_hashes_meet(spark):
+    rows = [(1, 'a', None), (1, 'a', None), (1, None, 'a'), (2, 'b', 'c'), (3, None, None), (3, None, None), (3, None, None), (4, 'a', None)]
+    df = spark.createDataFrame(rows, 'k long, a string, b string')
+    assert profile.rows_with_likeness(df, ['k', 'a', 'b']).filter('k IN (2, 4)').count() == 0
+    assert tuple(profile.duplicate_rows(df).first()) == (3, 2, 5)
+    assert tuple(profile.duplicate_rows(df.limit(0)).first()) == (0, 0, 0)
