@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableprep.functions import text as X
-from tableprep.operators import dedup, extract, outliers, profile
+from tableprep.operators import clean, dedup, extract, outliers, profile
 from tableprep.plans import prepare as PP
 from tableprep.sources.fixtures import LISTING_COLUMNS
 
@@ -99,3 +99,14 @@ def test_whole_rows_are_compared_only_where_hashes_meet(spark):
     assert profile.rows_with_likeness(df, ['k', 'a', 'b']).filter('k IN (2, 4)').count() == 0
     assert tuple(profile.duplicate_rows(df).first()) == (3, 2, 5)
     assert tuple(profile.duplicate_rows(df.limit(0)).first()) == (0, 0, 0)
+
+
+def test_what_leads_up_to_a_fit_runs_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(200, numPartitions=2).select(F.col('id').alias('k'), F.col('id').cast('double').alias('v')).mapInArrow(count, 'k long, v double')
+    assert clean.tail_review(df, 'v', 0.01, 'k').count() == 2 and seen.value == 200
