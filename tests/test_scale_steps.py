@@ -110,3 +110,7 @@ def test_what_leads_up_to_a_fit_runs_once(spark):
             yield b
     df = spark.range(200, numPartitions=2).select(F.col('id').alias('k'), F.col('id').cast('double').alias('v')).mapInArrow(count, 'k long, v double')
     assert clean.tail_review(df, 'v', 0.01, 'k').count() == 2 and seen.value == 200
+    seen.value = 0
+    df = spark.createDataFrame([(1, 'p', 't'), (2, 'p', 't'), (3, 'p', 'u'), (4, 'q', 'u')], 'k long, a string, t string').mapInArrow(count, 'k long, a string, t string')
+    got = sorted(map(tuple, dedup.collapse_near_duplicates(df.filter('k <> 3'), ['k', 't'], 't', 'k').collect()))
+    assert got == [(1, 'p', 't'), (4, 'q', 'u')] and seen.value == 4
