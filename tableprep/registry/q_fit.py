@@ -211,12 +211,12 @@ def g4(spark, sf):
 
 @query('h1_age', f"{W('feat')} SELECT ad_id, property_age FROM feat")
 def h1(spark, sf):
-    return stage(spark, sf, 'outl').select('ad_id', features.age('completion_year').alias('property_age'))
+    return stage(spark, sf, 'outl', ['completion_year']).select('ad_id', features.age('completion_year').alias('property_age'))
 
 
 @query('h2_presence_flags', f"{W('feat')} SELECT ad_id, Has_school, Has_mall FROM feat")
 def h2(spark, sf):
-    return features.presence_flags(stage(spark, sf, 'outl'), ['school', 'mall']).select('ad_id', 'Has_school', 'Has_mall')
+    return features.presence_flags(stage(spark, sf, 'outl', ['school', 'mall']), ['school', 'mall']).select('ad_id', 'Has_school', 'Has_mall')
 
 
 @query('h3_engineering_report', f"{W('feat')} SELECT split, count(*) AS rows, "
@@ -235,13 +235,13 @@ def h3(spark, sf):
 
 @query('h4_is_after', f"{W('feat')} SELECT ad_id, CAST(completion_year > 2023 AS INTEGER) AS is_off_plan FROM feat")
 def h4(spark, sf):
-    return stage(spark, sf, 'feat').select('ad_id', features.is_after('completion_year').alias('is_off_plan'))
+    return stage(spark, sf, 'feat', ['completion_year']).select('ad_id', features.is_after('completion_year').alias('is_off_plan'))
 
 
 @query('h5_row_sum', f"{W('feat')} SELECT ad_id, Has_school + Has_mall AS amenity_count, bedroom + bathroom AS rooms "
        "FROM feat")
 def h5(spark, sf):
-    df = stage(spark, sf, 'feat')
+    df = stage(spark, sf, 'feat', ['Has_school', 'Has_mall', 'bedroom', 'bathroom'])
     return df.select('ad_id', features.row_sum(['Has_school', 'Has_mall']).alias('amenity_count'),
                      features.row_sum(['bedroom', 'bathroom']).alias('rooms'))
 
@@ -250,7 +250,7 @@ def h5(spark, sf):
        "AS units_per_floor, CASE WHEN bedroom <> 0 THEN property_size / bedroom END AS size_per_bedroom FROM feat",
        ['units_per_floor', 'size_per_bedroom']))
 def h6(spark, sf):
-    df = stage(spark, sf, 'feat')
+    df = stage(spark, sf, 'feat', ['total_units', 'floors', 'property_size', 'bedroom'])
     return round_doubles(df.select('ad_id', features.safe_ratio('total_units', 'floors').alias('units_per_floor'),
                                    features.safe_ratio('property_size', 'bedroom').alias('size_per_bedroom')))
 
@@ -260,13 +260,13 @@ def h6(spark, sf):
 @query('i1_merge_values', f"{W('outl')} SELECT ad_id, CASE WHEN land_title = 'Malay Reserved' THEN 'Bumi Lot' "
        "ELSE land_title END AS land_title FROM outl")
 def i1(spark, sf):
-    return stage(spark, sf, 'outl').select('ad_id', encode.merge_values('land_title', C.LAND_TITLE_MERGE)
+    return stage(spark, sf, 'outl', ['land_title']).select('ad_id', encode.merge_values('land_title', C.LAND_TITLE_MERGE)
                                            .alias('land_title'))
 
 
 @query('i2_binary_map', f"{W('feat')} SELECT ad_id, Is_Non_Bumi_Lot, Freehold_Indicator FROM feat")
 def i2(spark, sf):
-    df = stage(spark, sf, 'outl')
+    df = stage(spark, sf, 'outl', ['land_title', 'tenure_type'])
     land = encode.merge_values('land_title', C.LAND_TITLE_MERGE)
     return df.select('ad_id', encode.binary_map(land, C.LAND_TITLE_MAP).alias('Is_Non_Bumi_Lot'),
                      encode.binary_map('tenure_type', C.TENURE_MAP).alias('Freehold_Indicator'))
@@ -274,14 +274,14 @@ def i2(spark, sf):
 
 @query('i3_ordinal_map', f"{W('feat')} SELECT ad_id, Floor_Range_Ordinal FROM feat")
 def i3(spark, sf):
-    return stage(spark, sf, 'outl').select(
+    return stage(spark, sf, 'outl', ['floor_range']).select(
         'ad_id', encode.ordinal_map('floor_range', C.FLOOR_RANGE_ORDER).alias('Floor_Range_Ordinal'))
 
 
 @query('i4_known_flag', f"{W('feat')} SELECT ad_id, CAST(coalesce(floor_range IN ('Low', 'Medium', 'High'), false) "
        "AS INTEGER) AS Floor_Range_Known FROM feat")
 def i4(spark, sf):
-    return stage(spark, sf, 'outl').select(
+    return stage(spark, sf, 'outl', ['floor_range']).select(
         'ad_id', encode.known_flag('floor_range', C.FLOOR_RANGE_ORDER).alias('Floor_Range_Known'))
 
 
@@ -294,7 +294,7 @@ _ITEMS = S.parse_list('facilities')
        "AS value FROM it, vocab")
 def i5(spark, sf):
     """I5 in long form (key, column, value): the vocabulary is fitted on train."""
-    df = stage(spark, sf, 'feat')
+    df = stage(spark, sf, 'feat', ['facilities'])
     items = PP.facility_items()
     p = encode.fit_multi_hot(_train(df), items)
     return _long_flags(encode.apply_multi_hot(df, items, p), 'ad_id', p.columns())
@@ -306,7 +306,7 @@ def i5(spark, sf):
        "FROM (SELECT DISTINCT ad_id, unnest(items) AS item FROM it) JOIN voc USING (item)")
 def i5_sparse(spark, sf):
     """I5 for any vocabulary: (key, index, column, value) of the cells that are 1."""
-    df = materialize(stage(spark, sf, 'feat').select('ad_id', 'split', PP.facility_items().alias('items')), 'items')
+    df = materialize(stage(spark, sf, 'feat', ['facilities']).select('ad_id', 'split', PP.facility_items().alias('items')), 'items')
     p = vocabulary.fit_sparse(_train(df).select(F.explode('items').alias('value')).distinct(), 'items', 'Has')
     return vocabulary.sparse_rows(df, 'ad_id', F.col('items'), p).join(p.names(), 'index').select('ad_id', 'index', 'column', 'value')
 
@@ -331,7 +331,7 @@ _STATE_RARE = ("st AS (SELECT ad_id, split, coalesce(state, 'Unknown') AS state
        "THEN 'Other' ELSE state END AS state FROM st")
 def i6(spark, sf):
     from tableprep.operators import clean
-    df = clean.fill_constant(stage(spark, sf, 'feat'), {'state': 'Unknown'})
+    df = clean.fill_constant(stage(spark, sf, 'feat', ['state']), {'state': 'Unknown'})
     rare = encode.rare_table(_train(df), 'state', C.RARE_STATE_THRESHOLD)
     return encode.merge_rare(df, rare, 'state').select('ad_id', 'state')
 
@@ -348,7 +348,7 @@ _TYPE_RARE = (f"rt AS (SELECT property_type FROM feat WHERE split = 'train' GROU
        "CAST(coalesce(property_type = cat, false) AS INTEGER) AS value FROM pt, kept")
 def i7(spark, sf):
     """I7 in long form (key, column, value): drop-first categories fitted on train."""
-    df = stage(spark, sf, 'feat')
+    df = stage(spark, sf, 'feat', ['property_type'])
     rt, p = encode.fit_rare_one_hot(_train(df), {
         'property_type': (C.RARE_PROPERTY_TYPE_THRESHOLD, 'PropertyType')})['property_type']
     return _long_flags(encode.apply_one_hot(encode.apply_rare(df, rt), p), 'ad_id', p.columns())
@@ -370,14 +370,14 @@ def _median_sql(spec: dict) -> str:
 
 @query('j1_impute_median', f"{W('feat')}{_median_sql(_J1)}")
 def j1(spark, sf):
-    df = stage(spark, sf, 'feat')
+    df = stage(spark, sf, 'feat', list(_J1))
     p = impute.fit_median(_train(df), _J1)
     return impute.apply_median(df, p).select('ad_id', *[x for c, f in _J1.items() for x in (c, f)])
 
 
 @query('j2_impute_no_flag', f"{W('feat')}{_median_sql({c: None for c in _J2})}")
 def j2(spark, sf):
-    df = stage(spark, sf, 'feat')
+    df = stage(spark, sf, 'feat', _J2)
     p = impute.fit_median(_train(df), {c: None for c in _J2})
     return impute.apply_median(df, p).select('ad_id', *_J2)
 
@@ -385,7 +385,7 @@ def j2(spark, sf):
 @query('j3_log1p', rnd(f"{W('feat')} SELECT ad_id, " + ", ".join(
     f"ln(1 + {c}) AS {c}" for c in PP.SCALE_COLS) + " FROM feat", PP.SCALE_COLS))
 def j3(spark, sf):
-    return round_doubles(impute.log1p_columns(stage(spark, sf, 'feat'), PP.SCALE_COLS).select('ad_id', *PP.SCALE_COLS))
+    return round_doubles(impute.log1p_columns(stage(spark, sf, 'feat', PP.SCALE_COLS), PP.SCALE_COLS).select('ad_id', *PP.SCALE_COLS))
 
 
 _J4 = ['bedroom', 'bathroom', 'property_size']
@@ -396,6 +396,6 @@ _J4 = ['bedroom', 'bathroom', 'property_size']
     f"AS s_{c}" for c in _J4) + " FROM feat WHERE split = 'train') SELECT ad_id, " + ", ".join(
     f"({c} - m_{c}) / s_{c} AS {c}" for c in _J4) + " FROM feat, sp", _J4))
 def j4(spark, sf):
-    df = stage(spark, sf, 'feat')
+    df = stage(spark, sf, 'feat', _J4)
     p = impute.fit_standardise(_train(df), _J4)
     return round_doubles(impute.apply_standardise(df, p).select('ad_id', *_J4))
