@@ -230,7 +230,8 @@ def h2(spark, sf):
        "min(listed_facility_count) AS facility_count_min, max(listed_facility_count) AS facility_count_max "
        "FROM feat GROUP BY split")
 def h3(spark, sf):
-    return features.engineering_report(stage(spark, sf, 'feat'), 'address', 'completion_year', 'facilities')
+    cols = ['address', 'state', 'completion_year', 'property_age', 'facilities', 'listed_facility_count']
+    return features.engineering_report(stage(spark, sf, 'feat', cols), 'address', 'completion_year', 'facilities')
 
 
 @query('h4_is_after', f"{W('feat')} SELECT ad_id, CAST(completion_year > 2023 AS INTEGER) AS is_off_plan FROM feat")
